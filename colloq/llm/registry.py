@@ -1,9 +1,11 @@
 """Queries of this subpackage by name, and their SQL where SQL can state them."""
 
-from . import exact_dedup, sharding
+from . import decontaminate, exact_dedup, packing, sharding
 
 QUERIES = {
+    "op2_packing": packing.query,
     "op3_exact_dedup": exact_dedup.query,
+    "op7_decontaminate": decontaminate.query,
     "op8_sharding": sharding.query,
 }
 ORACLE = {
