@@ -1,13 +1,15 @@
 """Queries of this subpackage by name, and their SQL where SQL can state them."""
 
-from . import decontaminate, exact_dedup, packing, sharding
+from . import decontaminate, exact_dedup, packing, secrets, sharding
 
 QUERIES = {
     "op2_packing": packing.query,
     "op3_exact_dedup": exact_dedup.query,
+    "op4_secrets": secrets.query,
     "op7_decontaminate": decontaminate.query,
     "op8_sharding": sharding.query,
 }
 ORACLE = {
+    "op4_secrets": secrets.SQL,
     "op3_exact_dedup": exact_dedup.SQL,
 }
