@@ -1,15 +1,18 @@
 """Queries of this subpackage by name, and their SQL where SQL can state them."""
 
-from . import decontaminate, exact_dedup, packing, secrets, sharding
+from . import decontaminate, exact_dedup, packing, quality, secrets, sharding, simhash, substring_dedup
 
 QUERIES = {
+    "op1_substring_dedup": substring_dedup.query,
     "op2_packing": packing.query,
     "op3_exact_dedup": exact_dedup.query,
     "op4_secrets": secrets.query,
+    "op5_simhash": simhash.query,
     "op7_decontaminate": decontaminate.query,
     "op8_sharding": sharding.query,
+    "op10_quality": quality.query,
 }
 ORACLE = {
-    "op4_secrets": secrets.SQL,
     "op3_exact_dedup": exact_dedup.SQL,
+    "op4_secrets": secrets.SQL,
 }
