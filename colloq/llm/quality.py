@@ -73,7 +73,9 @@ class Rules:
         for w, rule in zip(self.weights, self.rules, strict=True):
             holds = " AND ".join(f"{name} {'>' if above else '<='} {t!r}D" for name, above, t in rule)
             terms.append(f"IF({holds}, {float(w)!r}D, 0D)")
-        return f"1D / (1D + exp(-({' + '.join(terms)})))"
+        while len(terms) > 1:  # a balanced sum: generated code may not nest deeply
+            terms = [f"({' + '.join(terms[k : k + 2])})" for k in range(0, len(terms), 2)]
+        return f"1D / (1D + exp(-{terms[0]}))"
 
 
 def _tree(x: np.ndarray, cuts: list[np.ndarray], g: np.ndarray, rows: np.ndarray, columns: np.ndarray, depth: int, path: tuple, out: list, least: int):
