@@ -67,3 +67,8 @@ def attach(rows: DataFrame, facts: DataFrame, key: str, spread: list[str], salts
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+def own(docs: DataFrame) -> list[Column]:
+    """The columns of a table, whatever characters their names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import load, written
+from .common import load, own, written
 
 WINDOW = 10
 SEGMENT = 1 << 19  # tokens
@@ -243,10 +243,10 @@ def near_matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, slop:
 
 def keep_clean(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` without a hit; rows that share a doc_id with a hit row go with it, a null doc_id has its own texts looked up."""
-    keyed = docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("bigint"), F.xxhash64(F.coalesce(F.col("text"), F.lit("")))))
-    found = find_matches(keyed.select(F.col("_key").alias("doc_id"), "text"), items, window)
-    hit = found.filter(F.size("hits") > 0).select(F.col("doc_id").alias("_key")).distinct()
-    return keyed.join(hit, "_key", "left_anti").select(docs.columns)
+    keyed = docs.withColumn("_cq_key", F.coalesce(F.col("doc_id").cast("bigint"), F.xxhash64(F.coalesce(F.col("text"), F.lit("")))))
+    found = find_matches(keyed.select(F.col("_cq_key").alias("doc_id"), "text"), items, window)
+    hit = found.filter(F.size("hits") > 0).select(F.col("doc_id").alias("_cq_key")).distinct()
+    return keyed.join(hit, "_cq_key", "left_anti").select(own(docs))
 
 
 def report(found: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import attach, load, new_path, written
+from .common import attach, load, new_path, own, written
 
 SCHEMA = "digest binary, keep_id bigint, n bigint, generation int"
 
@@ -105,16 +105,16 @@ def exact_dedup(docs: DataFrame, batches: int = 2, buckets: int = 32) -> DataFra
 def keep_rows(docs: DataFrame, batches: int = 1, buckets: int = 32) -> DataFrame:
     """The rows of ``docs`` that stay, one for each text, with all their columns."""
     _, index = index_all(docs, batches, buckets)
-    keepers = index.rows().select(F.col("digest").alias("_digest"), F.col("keep_id").alias("_keep"))
-    rows = docs.withColumn("_digest", digest_of(F.col("text"))).withColumn("_id", F.col("doc_id").cast("bigint"))
+    keepers = index.rows().select(F.col("digest").alias("_cq_digest"), F.col("keep_id").alias("_cq_keep"))
+    rows = docs.withColumn("_cq_digest", digest_of(F.col("text"))).withColumn("_cq_id", F.col("doc_id").cast("bigint"))
     # Both join keys and the distinct share one partitioning and order: one shuffle of the texts.
-    known = F.coalesce(F.col("_id"), F.lit(0)), F.col("_id").isNull()
-    rows = rows.withColumn("_id0", known[0]).withColumn("_null", known[1]).drop("_id")
+    known = F.coalesce(F.col("_cq_id"), F.lit(0)), F.col("_cq_id").isNull()
+    rows = rows.withColumn("_cq_id0", known[0]).withColumn("_cq_null", known[1]).drop("_cq_id")
     keepers = keepers.select(
-        "_digest", F.coalesce("_keep", F.lit(0)).alias("_id0"), F.col("_keep").isNull().alias("_null")
+        "_cq_digest", F.coalesce("_cq_keep", F.lit(0)).alias("_cq_id0"), F.col("_cq_keep").isNull().alias("_cq_null")
     )
-    stay = rows.join(keepers, ["_digest", "_id0", "_null"], "left_semi")
-    return stay.dropDuplicates(["_digest", "_id0", "_null"]).select(docs.columns)
+    stay = rows.join(keepers, ["_cq_digest", "_cq_id0", "_cq_null"], "left_semi")
+    return stay.dropDuplicates(["_cq_digest", "_cq_id0", "_cq_null"]).select(own(docs))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

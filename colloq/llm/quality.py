@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import load
+from .common import load, own
 
 SAMPLE = 20_000
 THRESHOLD = 0.7
@@ -193,8 +193,7 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "quality", sample: i
 
 def scored(docs: DataFrame, rules: Rules) -> DataFrame:
     """``docs`` with the column ``_score``."""
-    columns = docs.columns
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"), F.coalesce(F.col("text"), F.lit("")).alias("_text"))
+    packed = docs.select(F.struct(*own(docs)).alias("_row"), F.coalesce(F.col("text"), F.lit("")).alias("_text"))
     stats = statistics(F.col("_text"))
     used = {name for rule in rules.rules for name, _, _ in rule}
     measured = packed.select("_row", *[c.alias(k) for k, c in stats.items() if k in used])

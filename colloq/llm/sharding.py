@@ -53,13 +53,13 @@ class SlotMap:
     def rebalance(self, sizes: DataFrame, shards: int, base: int, tolerance: float = 0.01) -> DataFrame:
         """Version ``base + 1``: slots stay where they are while their shard holds at most its fair share.
 
-        In each shard slots are kept, heaviest first, up to ``(1 + tolerance)`` times the mean; the others, and
+        In each shard slots are kept, lightest first (so few are moved), up to ``(1 + tolerance)`` times the mean; the others, and
         all slots of shards that are gone, are dealt again to the emptiest shards.
         """
         old = self.read(base).select("vslot", F.col("shard").alias("_was"))
         now = sizes.join(old, "vslot", "left")
         mean = now.agg((F.sum("bytes") / shards).alias("_mean"))
-        w = Window.partitionBy("_was").orderBy(F.desc("bytes"), "vslot")
+        w = Window.partitionBy("_was").orderBy("bytes", "vslot")
         now = now.crossJoin(F.broadcast(mean)).withColumn("_sum", F.sum("bytes").over(w))
         stays = (F.col("_was") < shards) & (F.col("_sum") <= F.col("_mean") * (1 + tolerance))
         now = now.withColumn("_keep", F.when(F.coalesce(stays, F.lit(False)), F.col("_was")))

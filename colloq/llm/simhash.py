@@ -256,8 +256,8 @@ def near_duplicates(docs: DataFrame, scheme: Scheme = CONTRACT) -> DataFrame:
 def keep_one(docs: DataFrame, scheme: Scheme = WIDE) -> DataFrame:
     """The rows of ``docs`` without those whose component has a smaller doc_id; rows with a null doc_id stay."""
     found = near_duplicates(docs, scheme)
-    drop = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_drop")).distinct()
-    return docs.join(drop, docs["doc_id"].cast("bigint") == drop["_drop"], "left_anti")
+    drop = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_cq_drop")).distinct()
+    return docs.join(drop, docs["doc_id"].cast("bigint") == drop["_cq_drop"], "left_anti")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
