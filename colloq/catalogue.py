@@ -2,5 +2,8 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE: dict = {}
+from .plans import measures
+
+_PARTS = (measures,)
+QUERIES = {k: f for part in _PARTS for k, f in part.QUERIES.items()}
+ORACLE = {k: q for part in _PARTS for k, q in part.ORACLE.items()}
