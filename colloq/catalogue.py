@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from .plans import measures
+from .plans import language, measures
 
-_PARTS = (measures,)
+_PARTS = (measures, language)
 QUERIES = {k: f for part in _PARTS for k, f in part.QUERIES.items()}
-ORACLE = {k: q for part in _PARTS for k, q in part.ORACLE.items()}
+
+
+def oracle() -> dict[str, str]:
+    """The SQL texts; some hold word lists that need a session."""
+    return {k: q() if callable(q) else q for part in _PARTS for k, q in part.ORACLE.items()}
