@@ -41,7 +41,18 @@ def written(df: DataFrame, what: str) -> DataFrame:
     path = new_path(spark, what)
     df.write.parquet(path)
     release(spark)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_path = path
+    return out
+
+
+def dropped(*tables: DataFrame | None) -> None:
+    """Delete written tables that nothing reads any more."""
+    for df in tables:
+        if df is not None:
+            jvm = df.sparkSession._jvm
+            at = jvm.org.apache.hadoop.fs.Path(df.written_path)
+            at.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
 
 
 def release(spark: SparkSession) -> None:

@@ -1,15 +1,19 @@
 """Substring deduplication over a log-structured fingerprint index.
 
-A window is ``WINDOW`` consecutive words. Of the runs of ``GRAM`` words inside a window the one with the least hash
-is its gram; consecutive windows with the same gram form a stretch. Documents that share a window share its
-gram, so the index holds one fingerprint a stretch (gram, check of all words of the stretch, first doc_id) instead of
-one a window, about a fifth, and misses nothing.
+A window is ``WINDOW`` consecutive words. Its gram is the least hash of the runs of ``GRAM`` words inside it;
+consecutive windows with the same gram form a stretch. Documents that share a window share its gram, so the
+index holds one fingerprint a stretch (gram, check of all words of the stretch, doc_id) instead of one a window,
+about a fifth, and misses nothing.
 
-Each batch becomes a sorted immutable run. The batch is merge-joined with the older runs. A stretch
-that also lies in an earlier document is removed as a whole. Where one gram has different stretches (at the ends
-of passages and around edits), the windows of the first document of each stretch are hashed in full (128 bits) and
-compared one by one; this verifies what the fingerprints cannot decide. When there are more than ``MOST_RUNS``
-runs they are merged into one.
+Each batch becomes a sorted immutable run, bucketed by gram; that is its only shuffle of fingerprints. The run is
+merge-joined with the older runs, bucket by bucket. A stretch that also lies in an earlier document is removed as a
+whole. Where one gram has different stretches (at the ends of passages and around edits), the windows of the first
+document of each stretch are hashed in full (128 bits) and compared one by one; this verifies what the
+fingerprints cannot decide. When there are more than ``MOST_RUNS`` runs they are merged into one.
+
+Hot grams: what repeats inside a task's batch of documents is decided there, and only its first document goes on. A
+gram with ``HOT`` or more stretches in one batch is dealt over ``SALTS`` buckets and its stretches always compared
+window by window; a mark in the gram's plain bucket makes batches where it is rare do the same.
 
 Batches come in ascending doc_id, so what a run holds is smaller than what comes later.
 
@@ -29,41 +33,31 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import load, new_path, release, written
+from .common import dropped, load, new_path, release, written
 
 WINDOW = 13
 GRAM = 6
 MOST_RUNS = 4
-CACHE = 300_000
+HOT = 64
+SALTS = 32
 M = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
 MASK48 = np.uint64(2**48 - 1)
-CELL = 2**16  # words between the powers that are kept
-
-
-# --- Hashes of runs of words ---------------------------------------------------------------------------------
-
+BLOCK = 1 << 20  # bytes hashed at a time
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
+SPACE = np.array([c in (9, 10, 11, 12, 13, 32) for c in range(256)])
 
-        if len(self) >= CACHE:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
 
+# --- Hashes of runs of words ---------------------------------------------------------------------------------
 
-_HASHES = _WordHashes()
 _POWERS: list[np.ndarray] = []
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of M and of its inverse, modulo 2^64."""
     if not _POWERS or len(_POWERS[0]) < n:
-        size = max(CELL, 2 * n)
         out = []
         for base in (M, pow(M, -1, 2**64)):
-            x = np.full(size, base, "<u8")
+            x = np.full(max(BLOCK, 2 * n), base, "<u8")
             x[0] = 1
             out.append(np.multiply.accumulate(x))
         _POWERS[:] = out
@@ -77,127 +71,188 @@ def _mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class Words:
-    """Words of a text and hashes of their runs."""
-
-    def __init__(self, text: bytes | None):
-        self.words = text.split() if text else []
-        self.n = len(self.words)
-
-    def hashes(self) -> np.ndarray:
-        return np.fromiter(map(_HASHES.__getitem__, self.words), "<u8", self.n)
-
-    def sums(self, h: np.ndarray) -> np.ndarray:
-        up, _ = _powers(self.n + 1)
-        out = np.zeros(self.n + 1, "<u8")
-        np.cumsum(h * up[: self.n], out=out[1:])
-        return out
-
-    def spans(self, sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Hash of the words from start to end (exclusive), the same wherever they lie."""
-        _, down = _powers(self.n + 1)
-        return (sums[end] - sums[start]) * down[start]
+def _running(values: np.ndarray) -> np.ndarray:
+    """Sums of values times powers of M, from nothing on."""
+    out = np.zeros(len(values) + 1, "<u8")
+    np.cumsum(values * _powers(len(values))[0][: len(values)], out=out[1:])
+    return out
+
+
+def _spans(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of what lies from start to end (exclusive), the same wherever it lies."""
+    return (sums[end] - sums[start]) * _powers(len(sums))[1][start]
+
+
+class Chunk:
+    """Some texts, their words numbered through: hashes are computed for all of them at once."""
+
+    def __init__(self, texts: list[bytes]):
+        raw = np.frombuffer(b"\n".join(texts) + b"\n", "u1")
+        edge = np.diff((~SPACE[raw]).astype("i1"), prepend=np.int8(0))
+        starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        at = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        self.base = np.searchsorted(starts, at)  # first word of each text, and the end
+        self.n = len(starts)
+        hashes = np.zeros(self.n, "<u8")
+        k = 0
+        while k < self.n:  # whole words, about a block of bytes
+            stop = max(k + 1, int(np.searchsorted(ends, starts[k] + BLOCK)))
+            a, s, e = starts[k], starts[k:stop], ends[k:stop]
+            sums = _running(raw[a : e[-1]].astype("<u8"))
+            hashes[k:stop] = _mix(_spans(sums, s - a, e - a) + (e - s).astype("<u8"))
+            k = stop
+        self.hashes = hashes
+        self.sums = _running(hashes)
+        self.text_of = np.repeat(np.arange(len(texts)), np.diff(self.base))
 
     def stretches(self) -> tuple[np.ndarray, ...]:
-        """First and last window of each stretch, its gram and its check (48 bits each)."""
+        """Text, first and last window (as numbers of their first words), gram and check (48 bits each) of each stretch."""
         if self.n < WINDOW:
             none = np.zeros(0, "int64")
-            return none, none, none.astype("<u8"), none.astype("<u8")
-        sums = self.sums(self.hashes())
+            return none, none, none, none.astype("<u8"), none.astype("<u8")
         at = np.arange(self.n - GRAM + 1)
-        grams = _mix(self.spans(sums, at, at + GRAM))
-        seen = np.lib.stride_tricks.sliding_window_view(grams, WINDOW - GRAM + 1)
-        place = seen.argmin(axis=1) + np.arange(len(seen))
-        first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-        last = np.concatenate([first[1:], [len(place)]]) - 1
-        whole = self.spans(sums, first, last + WINDOW)
-        shape = ((place[first] - first).astype("<u8") << np.uint64(32)) | (last - first).astype("<u8")
-        return first, last, grams[place[first]] & MASK48, _mix(whole ^ _mix(shape)) & MASK48
+        least = _mix(_spans(self.sums, at, at + GRAM))
+        width = WINDOW - GRAM + 1  # grams of a window
+        reach = 1
+        while 2 * reach <= width:
+            least, reach = np.minimum(least[:-reach], least[reach:]), 2 * reach
+        if reach < width:
+            least = np.minimum(least[: len(least) - (width - reach)], least[width - reach :])
+        whole = np.flatnonzero(self.text_of[: self.n - WINDOW + 1] == self.text_of[WINDOW - 1 :])
+        least, text = least[whole], self.text_of[whole]
+        if not len(whole):
+            return text, whole, whole, least, least
+        first = np.flatnonzero(np.concatenate([[True], (least[1:] != least[:-1]) | (text[1:] != text[:-1])]))
+        last = np.concatenate([first[1:], [len(whole)]]) - 1
+        a, b = whole[first], whole[last]
+        check = _mix(_spans(self.sums, a, b + WINDOW) + (b - a).astype("<u8"))
+        return text[first], a, b, least[first] & MASK48, check & MASK48
 
     def windows(self, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """128 bits for each window."""
-        h = self.hashes()
-        a = _mix(self.spans(self.sums(h), starts, starts + WINDOW))
-        b = _mix(self.spans(self.sums(_mix(h, M)), starts, starts + WINDOW), 1)
-        return a, b
+        if not hasattr(self, "second"):
+            self.second = _running(_mix(self.hashes, M))
+        return _mix(_spans(self.sums, starts, starts + WINDOW)), _mix(_spans(self.second, starts, starts + WINDOW), 1)
 
 
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).astype("<u8").view("<i8"))
 
 
-def _texts(column: pa.Array) -> Iterator[bytes | None]:
-    return (t.as_buffer().to_pybytes() if t.is_valid else None for t in column)
+def _texts(column: pa.Array) -> list[bytes]:
+    return [t.as_buffer().to_pybytes() if t.is_valid else b"" for t in column]
+
+
+def _chunks(texts: list[bytes]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about a block of bytes."""
+    a = size = 0
+    for k, t in enumerate(texts):
+        size += len(t)
+        if size >= BLOCK:
+            yield a, k + 1
+            a, size = k + 1, 0
+    if a < len(texts):
+        yield a, len(texts)
 
 
 # --- Tasks over texts --------------------------------------------------------------------------------------------
 
+ROW = "gram bigint, salt int, chk bigint, doc_id bigint, nth int"
+LOCAL, MARK = -1, -1  # salt of what a batch of documents has decided; check of a mark
+
 
-def _stretch_rows(batches: Iterator[pa.RecordBatch], combine: bool) -> Iterator[pa.RecordBatch]:
-    """``combine``: (gram, chk, first, last), one row a stretch and batch of documents; else (gram, chk, doc_id, nth)."""
+def _stretch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each stretch: ``nth`` of its document."""
     for batch in batches:
-        grams, checks, docs, nth = [], [], [], []
-        for doc_id, text in zip(batch.column(0).to_pylist(), _texts(batch.column(1)), strict=True):
-            _, _, g, c = Words(text).stretches()
-            grams.append(g)
-            checks.append(c)
-            docs.append(np.full(len(g), doc_id, "int64"))
-            nth.append(np.arange(len(g), dtype="int32"))
-        if not grams:
-            continue
-        g, c, d, k = (np.concatenate(x) for x in (grams, checks, docs, nth))
-        if not combine:
-            yield pa.RecordBatch.from_arrays([_signed(g), _signed(c), pa.array(d), pa.array(k)], ["gram", "chk", "doc_id", "nth"])
+        ids, texts = batch.column(0).to_numpy(zero_copy_only=False), _texts(batch.column(1))
+        parts = []
+        for a, b in _chunks(texts):
+            text, _, _, g, c = Chunk(texts[a:b]).stretches()
+            nth = np.arange(len(text)) - np.searchsorted(text, text)
+            parts.append((g, c, ids[a:b][text], nth))
+        if not parts:
             continue
+        g, c, d, k = (np.concatenate(x) for x in zip(*parts, strict=True))
         order = np.lexsort((d, c, g))
-        g, c, d = g[order], c[order], d[order]
-        edge = np.flatnonzero(np.concatenate([[True], (g[1:] != g[:-1]) | (c[1:] != c[:-1])])) if len(g) else np.zeros(0, "int64")
-        last = np.concatenate([edge[1:], [len(g)]]) - 1 if len(g) else edge
-        yield pa.RecordBatch.from_arrays(
-            [_signed(g[edge]), _signed(c[edge]), pa.array(d[edge]), pa.array(d[last])], ["gram", "chk", "first", "last"]
+        g, c, d, k = g[order], c[order], d[order], k[order]
+        if not len(g):
+            continue
+        new_gram = np.concatenate([[True], g[1:] != g[:-1]])
+        new = new_gram | np.concatenate([[True], c[1:] != c[:-1]])
+        group = np.cumsum(new) - 1
+        decided = d > d[np.flatnonzero(new)][group]
+        gram = np.cumsum(new_gram) - 1
+        hot = (np.bincount(gram[new]) >= HOT)[gram]
+        salt = np.where(hot, 1 + (c % np.uint64(SALTS)).astype("int64"), 0)
+        salt[decided] = LOCAL
+        out = g.astype("<u8").view("<i8").copy()
+        out[decided] = (_mix(d[decided].astype("<i8").view("<u8")) & MASK48).view("<i8")  # dealt by document
+        marks = g[hot & new_gram].view("<i8")
+        none = np.full(len(marks), -1)
+        arrays = (
+            np.concatenate([out, marks]),
+            np.concatenate([salt, 0 * none]).astype("int32"),
+            np.concatenate([c.view("<i8"), none]),
+            np.concatenate([d, none]),
+            np.concatenate([k, none]).astype("int32"),
         )
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["gram", "salt", "chk", "doc_id", "nth"])
 
 
-def _digest(words: list[bytes], removed: np.ndarray) -> tuple[int, str]:
+def _digest(words: list[bytes], removed: np.ndarray) -> tuple[int, bytes, str]:
     kept = [w for w, gone in zip(words, removed.tolist(), strict=True) if not gone] if removed.any() else words
-    return int(removed.sum()), hashlib.sha256(b" ".join(kept)).hexdigest()
+    line = b" ".join(kept)
+    return int(removed.sum()), line, hashlib.sha256(line).hexdigest()
 
 
 RESULT = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
-STATE = f"{RESULT}, text binary, gone binary, starts array<int>, w1 array<bigint>, w2 array<bigint>, kept binary"
+STATE = f"{RESULT}, row bigint, text binary, gone binary, starts array<int>, w1 array<bigint>, w2 array<bigint>, kept binary"
 
 
 def _apply(batches: Iterator[pa.RecordBatch], texts: bool) -> Iterator[pa.RecordBatch]:
-    """Remove whole stretches; documents with open ones keep their text and list their windows."""
+    """Remove whole stretches; documents with open ones keep their text and list their windows.
+
+    ``met`` names a stretch by its number and check, as rows may share a doc_id and not the text.
+    """
     for batch in batches:
-        rows = []
-        for doc_id, text, whole, open_ in zip(
-            batch.column(0).to_pylist(), _texts(batch.column(1)), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True
-        ):
-            w = Words(text)
-            edge = np.zeros(w.n + 1, "int32")
-            row = dict.fromkeys(("text", "gone", "starts", "w1", "w2", "kept"))
-            if whole or open_:
-                first, last, _, _ = w.stretches()
-                if whole:
-                    np.add.at(edge, first[whole], 1)
-                    np.add.at(edge, last[whole] + WINDOW, -1)
-            gone = np.cumsum(edge[:-1]) > 0
-            if open_:
-                starts = np.concatenate([np.arange(first[k], last[k] + 1) for k in open_])
-                a, b = w.windows(starts)
-                row |= {"text": text, "gone": np.packbits(gone).tobytes(), "starts": starts.astype("int32"), "w1": a.view("<i8"), "w2": b.view("<i8")}
-                n, sha = None, None
-            else:
-                n, sha = _digest(w.words, gone)
-                if texts:
-                    row["kept"] = b" ".join(x for x, g in zip(w.words, gone.tolist(), strict=True) if not g)
-            rows.append(row | {"doc_id": doc_id, "n_words": w.n, "n_removed": n, "kept_sha256": sha})
+        rows, all_texts = [], _texts(batch.column(1))
+        ids, hashes, met = batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist()
+        for a, b in _chunks(all_texts):
+            told = [k for k in range(a, b) if met[k]]
+            if told:
+                chunk = Chunk([all_texts[k] for k in told])
+                text, first, last, _, check = chunk.stretches()
+                check, begin = check.view("<i8"), np.searchsorted(text, np.arange(len(told) + 1))
+                place = dict(zip(told, range(len(told)), strict=True))
+            for k in range(a, b):
+                words = all_texts[k].split()
+                edge = np.zeros(len(words) + 1, "int32")
+                row = dict.fromkeys(("text", "gone", "starts", "w1", "w2", "kept"))
+                whole, still = [], []
+                if met[k]:
+                    base, own, end = chunk.base[place[k]], begin[place[k]], begin[place[k] + 1]
+                    for x in met[k]:
+                        of = own + x["nth"]
+                        if of < end and check[of] == x["chk"]:
+                            (whole if x["whole"] else still).append(of)
+                    np.add.at(edge, first[whole] - base, 1)
+                    np.add.at(edge, last[whole] - base + WINDOW, -1)
+                gone = np.cumsum(edge[:-1]) > 0
+                n = sha = None
+                if still:
+                    starts = np.concatenate([np.arange(first[x], last[x] + 1) for x in still])
+                    w1, w2 = chunk.windows(starts)
+                    row |= {"row": hashes[k], "text": all_texts[k], "gone": np.packbits(gone).tobytes(), "starts": (starts - base).astype("int32")}
+                    row |= {"w1": w1.view("<i8"), "w2": w2.view("<i8")}
+                else:
+                    n, line, sha = _digest(words, gone)
+                    row["kept"] = line if texts else None
+                rows.append(row | {"doc_id": ids[k], "n_words": len(words), "n_removed": n, "kept_sha256": sha})
         yield pa.RecordBatch.from_pylist(rows, _STATE)
 
 
 _STATE = pa.schema(
-    [("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("text", pa.binary()), ("gone", pa.binary()),
+    [("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("row", pa.int64()), ("text", pa.binary()), ("gone", pa.binary()),
      ("starts", pa.list_(pa.int32())), ("w1", pa.list_(pa.int64())), ("w2", pa.list_(pa.int64())), ("kept", pa.binary())]
 )
 
@@ -209,47 +264,43 @@ def _finish(batches: Iterator[pa.RecordBatch], texts: bool) -> Iterator[pa.Recor
         for doc_id, text, gone, more in zip(
             batch.column(0).to_pylist(), _texts(batch.column(1)), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True
         ):
-            w = Words(text)
-            removed = np.unpackbits(np.frombuffer(gone, "u1"), count=w.n).astype(bool)
-            edge = np.zeros(w.n + 1, "int32")
+            words = text.split()
+            removed = np.unpackbits(np.frombuffer(gone, "u1"), count=len(words)).astype(bool)
+            edge = np.zeros(len(words) + 1, "int32")
             if more:
                 starts = np.unique(more)
                 np.add.at(edge, starts, 1)
                 np.add.at(edge, starts + WINDOW, -1)
             removed |= np.cumsum(edge[:-1]) > 0
-            n, sha = _digest(w.words, removed)
-            kept = b" ".join(x for x, g in zip(w.words, removed.tolist(), strict=True) if not g) if texts else None
-            rows.append({"doc_id": doc_id, "n_words": w.n, "n_removed": n, "kept_sha256": sha, "kept": kept})
+            n, line, sha = _digest(words, removed)
+            rows.append({"doc_id": doc_id, "n_words": len(words), "n_removed": n, "kept_sha256": sha, "kept": line if texts else None})
         yield pa.RecordBatch.from_pylist(rows, pa.schema([*[_STATE.field(k) for k in range(4)], _STATE.field("kept")]))
 
 
 def _source_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text, asked: stretches as (gram, chk)) of earlier documents -> their windows."""
+    """(doc_id, text, asked: numbers of its stretches) of earlier documents -> their windows."""
     for batch in batches:
-        ids, ones, twos = [], [], []
-        for doc_id, text, asked in zip(batch.column(0).to_pylist(), _texts(batch.column(1)), batch.column(2).to_pylist(), strict=True):
-            w = Words(text)
-            first, last, g, c = w.stretches()
-            wanted = {(x["gram"], x["chk"]) for x in asked}
-            hit = [k for k, x in enumerate(zip(g.tolist(), c.tolist(), strict=True)) if x in wanted]
-            if hit:
-                a, b = w.windows(np.concatenate([np.arange(first[k], last[k] + 1) for k in hit]))
-                ids.append(np.full(len(a), doc_id, "int64"))
-                ones.append(a)
-                twos.append(b)
-        if ids:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ids)), _signed(np.concatenate(ones)), _signed(np.concatenate(twos))], ["doc_id", "w1", "w2"])
+        ids, texts, asked = batch.column(0).to_pylist(), _texts(batch.column(1)), batch.column(2).to_pylist()
+        for a, b in _chunks(texts):
+            chunk = Chunk(texts[a:b])
+            text, first, last, _, _ = chunk.stretches()
+            begin = np.searchsorted(text, np.arange(b - a + 1))
+            starts, of = [], []
+            for k in range(a, b):
+                for x in asked[k]:
+                    if x < begin[k - a + 1] - begin[k - a]:  # of rows that repeat a doc_id, only those that have it
+                        starts.append(np.arange(first[begin[k - a] + x], last[begin[k - a] + x] + 1))
+                        of.append(np.full(len(starts[-1]), ids[k], "int64"))
+            if starts:
+                w1, w2 = chunk.windows(np.concatenate(starts))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(of)), _signed(w1), _signed(w2)], ["doc_id", "w1", "w2"])
 
 
 # --- Index -----------------------------------------------------------------------------------------------------------
 
 
 class FingerprintIndex:
-    """Sorted immutable runs (gram, chk, first, again), each a table bucketed by (gram, chk).
-
-    Bucketing by both keeps a gram that lies in a third of all documents, each time in another stretch, out of a
-    single task; what a gram has as a whole is two numbers, found by a partial aggregation.
-    """
+    """Sorted immutable runs of stretches (``ROW``), each a table bucketed by (gram, salt)."""
 
     def __init__(self, spark: SparkSession, buckets: int = 64):
         self.spark, self.buckets, self.runs = spark, buckets, []
@@ -257,81 +308,76 @@ class FingerprintIndex:
     def _write(self, df: DataFrame) -> str:
         path = new_path(self.spark, "fingerprint-run")
         name = "fingerprint_run_" + path[-12:]
-        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
         self.spark.sql(
-            f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (gram, chk) SORTED BY (gram, chk) "
+            f"CREATE TABLE {name} ({ROW}) USING parquet CLUSTERED BY (gram, salt) SORTED BY (gram, salt, chk, doc_id) "
             f"INTO {self.buckets} BUCKETS LOCATION '{path}'"
         )
-        writer = df.write.mode("append").format("parquet").bucketBy(self.buckets, "gram", "chk").sortBy("gram", "chk")
-        writer.option("path", path).saveAsTable(name)
+        sorted_ = df.repartition(self.buckets, "gram", "salt").sortWithinPartitions("gram", "salt", "chk", "doc_id")
+        writer = sorted_.write.mode("append").format("parquet").bucketBy(self.buckets, "gram", "salt")
+        writer.sortBy("gram", "salt", "chk", "doc_id").option("path", path).saveAsTable(name)
         release(self.spark)
         return name
 
-    def _dealt(self, df: DataFrame) -> DataFrame:
-        return df.repartition(self.buckets, "gram", "chk").groupBy("gram", "chk")
-
-    def ingest(self, stretches: DataFrame) -> DataFrame:
-        """Append a batch's stretches (gram, chk, first, last) as a run.
+    def ingest(self, stretches: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+        """Append a batch's stretches as a run.
 
-        Returns those that need a closer look, as a written table (gram, chk, first, many): they lie in more than one
-        document (``first`` is the least), or their gram has other stretches (``many``), in the batch or in a run.
+        Returns (doc_id, nth, gram, chk, whole) of the stretches that need a closer look: ``whole`` if an earlier document has
+        it, otherwise this document is the first and the gram has other stretches, in the batch or in a run; and what
+        the older runs hold.
         """
-        own = self._dealt(stretches).agg(F.min("first").alias("first"), (F.max("last") > F.min("first")).alias("again"))
-        run = self._write(own)
-        facts = self.spark.table(run)
-        held = facts.select("gram", "chk", F.lit(True).alias("new"))
-        if self.runs:
-            old = self.history()
-            held = held.unionByName(old.select("gram", "chk", F.lit(False).alias("new")))
-            seen = self._dealt(old).agg(F.min("first").alias("seen")) if len(self.runs) > 1 else old.withColumnRenamed("first", "seen")
-            facts = facts.join(seen.hint("merge"), ["gram", "chk"], "left")
-            facts = facts.select("gram", "chk", F.least("first", "seen").alias("first"), (F.col("again") | F.col("seen").isNotNull()).alias("again"))
-        spread = held.groupBy("gram").agg(F.min("chk").alias("lo"), F.max("chk").alias("hi"), F.max("new").alias("new"))
-        several = written(spread.filter("lo < hi AND new").select("gram", F.lit(True).alias("many")), "shared-grams")
-        facts = facts.join(several, "gram", "left").withColumn("many", F.coalesce("many", F.lit(False)))
+        run = self._write(stretches)
+        rows = self.spark.table(run)
+        same, gram = Window.partitionBy("gram", "salt", "chk"), Window.partitionBy("gram", "salt")
+        found = rows.filter("salt >= 0").withColumns({"first": F.min("doc_id").over(same), "lo": F.min("chk").over(gram), "hi": F.max("chk").over(gram)})
+        found = found.filter("nth >= 0").withColumn("many", (F.col("lo") != F.col("hi")) | (F.col("salt") > 0))
+        old = self.history()
+        if old is not None:
+            seen = old.filter("salt >= 0").groupBy("gram", "salt", "chk").agg(F.min("doc_id").alias("seen"))
+            known = old.filter("salt >= 0").groupBy("gram", "salt").agg(F.lit(True).alias("known"))
+            found = found.join(seen.hint("merge"), ["gram", "salt", "chk"], "left").join(known.hint("merge"), ["gram", "salt"], "left")
+            found = found.withColumns({"first": F.least("first", "seen"), "many": F.col("many") | F.coalesce("known", F.lit(False))})
+        found = found.select("doc_id", "nth", "gram", "chk", (F.col("first") < F.col("doc_id")).alias("whole"), "many").filter("whole OR many").drop("many")
+        local = rows.filter(F.col("salt") == LOCAL).select("doc_id", "nth", "gram", "chk", F.lit(True).alias("whole"))
         self.runs.append(run)
-        return written(facts.filter("again OR many").select("gram", "chk", "first", "many"), "stretch-facts")
+        return found.unionByName(local), old
 
-    def history(self) -> DataFrame:
-        out = self.spark.table(self.runs[0]).select("gram", "chk", "first")
-        for run in self.runs[1:]:
-            out = out.unionByName(self.spark.table(run).select("gram", "chk", "first"))
+    def history(self) -> DataFrame | None:
+        out = None
+        for run in self.runs:
+            out = self.spark.table(run) if out is None else out.unionByName(self.spark.table(run))
         return out
 
     def compact(self) -> None:
-        """Merge the runs into one."""
+        """Merge the runs into one; of a stretch that several hold, the first document stays."""
         if len(self.runs) > 1:
-            merged = self._dealt(self.history()).agg(F.min("first").alias("first")).withColumn("again", F.lit(False))
-            self.runs = [self._write(merged)]
+            first = self.history().filter("salt >= 0").groupBy("gram", "salt", "chk").agg(F.min(F.struct("doc_id", "nth")).alias("x"))
+            self.runs = [self._write(first.select("gram", "salt", "chk", "x.doc_id", "x.nth"))]
 
 
 def _ingest(batch: DataFrame, earlier: DataFrame | None, index: FingerprintIndex, texts: bool) -> DataFrame:
-    named = batch.filter("doc_id IS NOT NULL")
-    stretches = named.mapInArrow(partial(_stretch_rows, combine=True), "gram bigint, chk bigint, first bigint, last bigint")
-    runs_before = list(index.runs)
-    facts = index.ingest(stretches)
-    each = named.mapInArrow(partial(_stretch_rows, combine=False), "gram bigint, chk bigint, doc_id bigint, nth int")
-    met = each.join(facts, ["gram", "chk"]).select("doc_id", "nth", (F.col("first") < F.col("doc_id")).alias("whole"), "many")
-    met = met.filter("whole OR many")
-    replies = met.groupBy("doc_id").agg(
-        F.collect_list(F.when(F.col("whole"), F.col("nth"))).alias("whole"), F.collect_list(F.when(~F.col("whole"), F.col("nth"))).alias("open")
-    )
-    told = batch.join(replies, "doc_id", "left").select("doc_id", "text", "whole", "open")
+    met, old = index.ingest(batch.filter("doc_id IS NOT NULL").mapInArrow(_stretch_rows, ROW))
+    met = written(met, "stretches-met")
+    replies = met.groupBy("doc_id").agg(F.collect_list(F.struct("nth", "chk", "whole")).alias("met"))
+    told = batch.join(replies, "doc_id", "left").select("doc_id", "text", F.xxhash64("text").alias("row"), "met")
     state = written(told.mapInArrow(partial(_apply, texts=texts), STATE), "substring-state")
     open_ = state.filter("text IS NOT NULL")
-    windows = open_.select("doc_id", F.explode(F.arrays_zip("starts", "w1", "w2")).alias("x")).select("doc_id", "x.*")
-    sources = windows.select("doc_id", "w1", "w2")
-    if runs_before and earlier is not None:
-        grams = facts.filter("many").select("gram").distinct()
-        old = index.history().filter(F.col("first").isNotNull()).join(grams, "gram", "left_semi")
-        asked = old.groupBy(F.col("first").alias("doc_id")).agg(F.collect_set(F.struct("gram", "chk")).alias("asked"))
+    windows = open_.select("doc_id", "row", F.explode(F.arrays_zip("starts", "w1", "w2")).alias("x")).select("doc_id", "row", "x.*")
+    sources, read_again = windows.select("doc_id", "w1", "w2"), None
+    if old is not None and earlier is not None:
+        grams = met.filter("NOT whole").select("gram").distinct()
+        first = old.filter("salt >= 0 AND nth >= 0").join(grams, "gram", "left_semi").groupBy("gram", "salt", "chk").agg(F.min(F.struct("doc_id", "nth")).alias("x"))
+        asked = first.groupBy("x.doc_id").agg(F.collect_set("x.nth").alias("asked"))
         read = earlier.filter("doc_id IS NOT NULL").join(asked, "doc_id").select("doc_id", "text", "asked")
-        sources = sources.unionByName(read.mapInArrow(_source_windows, "doc_id bigint, w1 bigint, w2 bigint"))
+        read_again = written(read.mapInArrow(_source_windows, "doc_id bigint, w1 bigint, w2 bigint"), "source-windows")
+        sources = sources.unionByName(read_again)
+    dropped(met)
     least = sources.groupBy("w1", "w2").agg(F.min("doc_id").alias("_least"), F.max("doc_id").alias("_last")).filter("_last > _least")
-    more = windows.join(least, ["w1", "w2"]).filter("_least < doc_id").groupBy("doc_id").agg(F.collect_set("starts").alias("more"))
-    rest = open_.select("doc_id", "text", "gone").join(more, "doc_id", "left").select("doc_id", "text", "gone", "more")
+    more = windows.join(least, ["w1", "w2"]).filter("_least < doc_id").groupBy("doc_id", "row").agg(F.collect_set("starts").alias("more"))
+    rest = open_.select("doc_id", "row", "text", "gone").join(more, ["doc_id", "row"], "left").select("doc_id", "text", "gone", "more")
     done = state.filter("text IS NULL").select("doc_id", "n_words", "n_removed", "kept_sha256", "kept")
-    return done.unionByName(rest.mapInArrow(partial(_finish, texts=texts), f"{RESULT}, kept binary"))
+    out = written(done.unionByName(rest.mapInArrow(partial(_finish, texts=texts), f"{RESULT}, kept binary")), "substring-result")
+    dropped(state, read_again)
+    return out
 
 
 def substring_dedup(docs: DataFrame, batches: int = 2, texts: bool = False, index: FingerprintIndex | None = None) -> DataFrame:

@@ -7,8 +7,8 @@ its gender (from the title before it). The same entity has the same surrogate wh
 written (case, separators), so references stay together.
 
 Distinctness is checked: over all distinct entities no two may share a surrogate and no surrogate may be an
-entity of the corpus; those that fail try again with a counter in the key until none fails. Only the few
-entities with a counter are joined back; all others are computed where the text is. All of it is DataFrame operations.
+entity of the corpus; those that fail try again with a counter in the key until none fails. Each document with
+mentions then gets the map of its own entities to their surrogates. All of it is DataFrame operations.
 
 Defined results: a null text stays null and has no entities; rows with a null doc_id and rows that repeat are treated
 like others (a row is known by doc_id and a hash of its text); an empty table gives no rows; with
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .common import load, own, written
 
-#: Exceptions up to this many documents are sent to all tasks; more are shuffled.
+#: Maps of up to this many documents are sent to all tasks; more are shuffled.
 BROADCAST_ROWS = 50_000
 ROUNDS = 64
 
@@ -65,14 +65,10 @@ def _sql_string(x: str) -> str:
 
 
 def kind_sql(m: str) -> str:
-    cases = " ".join(f"WHEN {m} RLIKE {_sql_string(f'^(?:{_whole(p)})$')} THEN '{k}'" for k, p in KINDS.items())
+    cases = " ".join(f"WHEN {m} RLIKE {_sql_string(f'^(?:{p})$')} THEN '{k}'" for k, p in KINDS.items())
     return f"(CASE {cases} ELSE 'other' END)"
 
 
-def _whole(pattern: str) -> str:
-    return pattern
-
-
 def norm_sql(kind: str, m: str) -> str:
     return (
         f"(CASE WHEN {kind} IN ('phone', 'card', 'ssn') THEN regexp_replace({m}, '[^0-9]', '') "
@@ -85,8 +81,9 @@ def byte_sql(h: str, k: str) -> str:
     return f"CAST(conv(substr({h}, 2 * (({k}) % 32) + 1, 2), 16, 10) AS INT)"
 
 
-def hash_sql(key: str, kind: str, norm: str, n: str) -> str:
-    return f"sha2(concat_ws(':', {_sql_string(key)}, {kind}, CAST({n} AS STRING), {norm}), 256)"
+def hash_sql(key: str) -> str:
+    """Hash of the row (kind, norm, n) under the key."""
+    return f"sha2(concat_ws(':', {_sql_string(key)}, kind, CAST(n AS STRING), norm), 256)"
 
 
 def _mapped(text: str, h: str, keep: str = "0") -> str:
@@ -114,25 +111,25 @@ def name_sql(token: str, role: str, h: str, n: str) -> str:
     return f"(CASE {' '.join(cases)} END)"
 
 
-def surrogate_sql(key: str, kind: str, norm: str, n: str) -> str:
-    """Surrogate of a normalised entity (of a name: of one of its words, kind name_f, name_m, name_s or name_x)."""
-    h = hash_sql(key, kind, norm, n)
-    local = f"split_part({norm}, '@', 1)"
-    labels = f"split(split_part({norm}, '@', 2), '[.]')"
+def surrogate_sql() -> str:
+    """Surrogate of a row (kind, norm, n, h): a normalised entity, or a word of a name (kind name_f, name_m, name_s or name_x)."""
+    labels = "split(split_part(norm, '@', 2), '[.]')"
     below = f"array_join(slice({labels}, 1, greatest(size({labels}) - 2, 0)), '.')"
     tld = f"IF(element_at({labels}, -1) IN ('com', 'net', 'org'), element_at({labels}, -1), 'com')"
-    digits = _mapped(norm, h, "1")
-    payload = f"substr({digits}, 1, length({norm}) - 1)"
-    passes = f"({_check_digit(f'substr({norm}, 1, length({norm}) - 1)')} = CAST(substr({norm}, -1) AS INT))"
+    payload = f"substr({_mapped('norm', 'h', '1')}, 1, length(norm) - 1)"
+    passes = f"({_check_digit('substr(norm, 1, length(norm) - 1)')} = CAST(substr(norm, -1) AS INT))"
     return f"""(CASE
-        WHEN {kind} = 'email' THEN concat({_mapped(local, h)}, '@', IF(size({labels}) > 2, concat({_mapped(below, hash_sql(key, "'domain'", norm, n))}, '.'), ''), 'example.', {tld})
-        WHEN {kind} = 'ip' THEN concat_ws('.', 240 + {byte_sql(h, '0')} % 16, {byte_sql(h, '1')}, {byte_sql(h, '2')}, {byte_sql(h, '3')})
-        WHEN {kind} = 'ssn' THEN concat('9', substr({_mapped(norm, h)}, 2))
-        WHEN {kind} = 'card' THEN concat({payload}, CAST(({_check_digit(payload)} + IF({passes}, 0, 1 + {byte_sql(h, '31')} % 9)) % 10 AS STRING))
-        WHEN {kind} = 'phone' THEN {_mapped(norm, h, f'IF(length({norm}) > 10, 1, 0)')}
-        WHEN {kind} = 'iban' THEN {_mapped(norm, h, '2')}
-        WHEN {kind} = 'handle' THEN {_mapped(norm, h)}
-        ELSE {name_sql(norm, f"substr({kind}, 6, 1)", h, n)} END)"""
+        WHEN kind = 'email' THEN concat({_mapped("split_part(norm, '@', 1)", 'h')}, '@', IF(size({labels}) > 2, concat({_mapped(below, 'reverse(h)')}, '.'), ''), 'example.', {tld})
+        WHEN kind = 'ip' THEN concat_ws('.', 240 + {byte_sql('h', '0')} % 16, {byte_sql('h', '1')}, {byte_sql('h', '2')}, {byte_sql('h', '3')})
+        WHEN kind = 'ssn' THEN concat('9', substr({_mapped('norm', 'h')}, 2))
+        WHEN kind = 'card' THEN concat({payload}, CAST(({_check_digit(payload)} + IF({passes}, 0, 1 + {byte_sql('h', '31')} % 9)) % 10 AS STRING))
+        WHEN kind IN ('phone', 'iban', 'handle') THEN {_mapped('norm', 'h', "CASE kind WHEN 'iban' THEN 2 WHEN 'handle' THEN 0 ELSE IF(length(norm) > 10, 1, 0) END")}
+        ELSE {name_sql('norm', "substr(kind, 6, 1)", 'h', 'n')} END)"""
+
+
+def with_surrogate(rows: DataFrame, key: str) -> DataFrame:
+    """(kind, norm, n) with the surrogate ``s``."""
+    return rows.withColumn("h", F.expr(hash_sql(key))).withColumn("s", F.expr(surrogate_sql())).drop("h")
 
 
 def _filled(m: str, s: str) -> str:
@@ -145,25 +142,21 @@ def _role_sql(m: str) -> str:
     return f"(CASE WHEN {m} RLIKE '^({FEMALE})[. ]' THEN 'f' WHEN {m} RLIKE '^({MALE})[. ]' THEN 'm' ELSE 'x' END)"
 
 
-def entities_sql(m: str) -> str:
-    """The entities of a mention as an array of (kind, norm); of a name its given name, if there are two words, and its surname."""
-    kind = kind_sql(m)
-    words = f"slice(split({m}, ' '), 2, 2)"
-    given = f"named_struct('kind', concat('name_', {_role_sql(m)}), 'norm', lower({words}[0]))"
+def entities_sql() -> str:
+    """The entities of a row (m, k: its kind) as an array of (kind, norm); of a name its given name, if it has two words, and its surname."""
+    words = "slice(split(m, ' '), 2, 2)"
+    given = f"named_struct('kind', concat('name_', {_role_sql('m')}), 'norm', lower({words}[0]))"
     last = f"named_struct('kind', 'name_s', 'norm', lower(element_at({words}, -1)))"
-    return f"""(CASE WHEN {kind} = 'person' THEN IF(size({words}) > 1, array({given}, {last}), array({last}))
-        ELSE array(named_struct('kind', {kind}, 'norm', {norm_sql(kind, m)})) END)"""
-
-
-def replaced_sql(m: str, key: str, tries: str) -> str:
-    """What stands for a mention; ``tries`` is a map of 'kind:norm' to a counter."""
-    kind, words = kind_sql(m), f"slice(split({m}, ' '), 2, 2)"
-    n = lambda k, x: f"coalesce({tries}[concat({k}, ':', {x})], 0)"
-    norm = norm_sql(kind, m)
-    plain = surrogate_sql(key, kind, norm, n(kind, norm))
-    name = lambda k, x: surrogate_sql(key, k, f"lower({x})", n(k, f"lower({x})"))
-    given = name(f"concat('name_', {_role_sql(m)})", f"{words}[0]")
-    last = name("'name_s'", f"element_at({words}, -1)")
+    return f"""(CASE WHEN k = 'person' THEN IF(size({words}) > 1, array({given}, {last}), array({last}))
+        ELSE array(named_struct('kind', k, 'norm', {norm_sql('k', 'm')})) END)"""
+
+
+def replaced_sql(m: str, kind: str, known: str) -> str:
+    """What stands for a mention; ``known`` is the document's map of 'kind:norm' to surrogates."""
+    words = f"slice(split({m}, ' '), 2, 2)"
+    plain = f"{known}[concat({kind}, ':', {norm_sql(kind, m)})]"
+    given = f"{known}[concat('name_', {_role_sql(m)}, ':', lower({words}[0]))]"
+    last = f"{known}[concat('name_s:', lower(element_at({words}, -1)))]"
     return f"""(CASE WHEN {kind} = 'person' THEN concat_ws(' ', split({m}, ' ')[0], IF(size({words}) > 1, {given}, NULL), {last})
         WHEN {kind} IN ('phone', 'card', 'ssn', 'iban') THEN {_filled(m, plain)} ELSE {plain} END)"""
 
@@ -177,19 +170,19 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 
 def mentions(docs: DataFrame) -> DataFrame:
-    """(doc_id, row, m): distinct mentions of each document."""
+    """(doc_id, row, m, k): distinct mentions of each document and their kinds."""
     hinted = _rows(docs).filter(F.col("text").rlike(HINT))
     found = F.array_distinct(F.regexp_extract_all("text", F.lit(combined()), F.lit(0)))
-    return hinted.select("doc_id", "row", F.explode(found).alias("m"))
+    return hinted.select("doc_id", "row", F.explode(found).alias("m")).withColumn("k", F.expr(kind_sql("m")))
 
 
 def assign(found: DataFrame, key: str) -> DataFrame:
-    """(kind, norm, n): entities whose surrogate needs the counter n > 0 to be unlike all others and all entities.
+    """(kind, norm, s): every entity with a surrogate that is unlike all others and unlike all entities.
 
-    Each round looks only at surrogates that are not settled, against all that are; few collide, so rounds are few.
+    Rounds raise the counter of what clashes; few do, so rounds are few.
     """
-    each = found.select(F.explode(F.expr(entities_sql("m"))).alias("e")).select("e.*").distinct()
-    state = written(each.withColumn("n", F.lit(0)).withColumn("s", F.expr(surrogate_sql(key, "kind", "norm", "n"))), "surrogates")
+    each = found.select(F.explode(F.expr(entities_sql())).alias("e")).select("e.*").distinct()
+    state = written(with_surrogate(each.withColumn("n", F.lit(0)), key), "surrogates")
     originals = state.select("kind", F.col("norm").alias("s"))
     # Names are compared in lower case, as entities are.
     same = F.when(F.col("kind").startswith("name_"), F.lower("s")).otherwise(F.col("s")).alias("s")
@@ -197,36 +190,36 @@ def assign(found: DataFrame, key: str) -> DataFrame:
         taken = state.select("kind", "norm", "n", same)
         first = taken.groupBy("kind", "s").agg(F.min(F.struct("n", "norm")).alias("first"), F.count(F.lit(1)).alias("held")).filter("held > 1")
         clash = taken.join(first, ["kind", "s"]).filter(F.col("norm") != F.col("first.norm")).select("kind", "norm")
-        real = taken.join(originals.withColumn("_real", F.lit(True)), ["kind", "s"], "left_semi").select("kind", "norm")
+        real = taken.join(originals, ["kind", "s"], "left_semi").select("kind", "norm")
         again = written(clash.unionByName(real).distinct(), "surrogate-clashes")
         if not again.limit(1).count():
-            return state.filter("n > 0").select("kind", "norm", "n")
+            return state.select("kind", "norm", "s")
         raised = state.join(again.withColumn("_up", F.lit(1)), ["kind", "norm"], "left")
         raised = raised.select("kind", "norm", (F.col("n") + F.coalesce("_up", F.lit(0))).alias("n"))
-        state = written(raised.withColumn("s", F.expr(surrogate_sql(key, "kind", "norm", "n"))), "surrogates")
+        state = written(with_surrogate(raised, key), "surrogates")
     raise RuntimeError(f"surrogates still clash after {ROUNDS} rounds; a kind has too many entities for its format")
 
 
 def replace_in(docs: DataFrame, key: str) -> DataFrame:
     """``docs`` with its text replaced, and the columns ``_n`` (mentions replaced) and ``_kinds`` (their kinds, sorted)."""
     found = written(mentions(docs), "mentions")
-    retried = written(assign(found, key), "retried")
-    named = found.select("doc_id", "row", F.explode(F.expr(entities_sql("m"))).alias("e")).select("doc_id", "row", "e.*")
-    counters = named.join(retried, ["kind", "norm"]).select("doc_id", "row", F.concat_ws(":", "kind", "norm").alias("k"), "n").distinct()
-    counters = counters.groupBy("doc_id", "row").agg(F.map_from_entries(F.collect_list(F.struct("k", "n"))).alias("_cq_tries"))
-    counters = written(counters.select(F.col("doc_id").alias("_cq_cid"), F.col("row").alias("_cq_crow"), "_cq_tries"), "retried-documents")
-    few = counters.count() <= BROADCAST_ROWS
+    surrogates = assign(found, key)
+    named = found.select("doc_id", "row", F.explode(F.expr(entities_sql())).alias("e")).select("doc_id", "row", "e.*").distinct()
+    known = named.join(surrogates, ["kind", "norm"]).groupBy("doc_id", "row")
+    known = known.agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws(":", "kind", "norm"), "s"))).alias("_cq_known"))
+    known = written(known.withColumnsRenamed({"doc_id": "_cq_cid", "row": "_cq_crow"}), "known-surrogates")
+    few = known.count() <= BROADCAST_ROWS
     rows = docs.withColumn("_cq_row", F.xxhash64(F.coalesce(F.col("text"), F.lit("")))).withColumn("_cq_id", F.col("doc_id").cast("bigint"))
-    same = rows["_cq_id"].eqNullSafe(counters["_cq_cid"]) & (rows["_cq_row"] == counters["_cq_crow"])
-    joined = rows.join(F.broadcast(counters) if few else counters, same, "left").select(*own(docs), "_cq_tries")
+    same = rows["_cq_id"].eqNullSafe(known["_cq_cid"]) & (rows["_cq_row"] == known["_cq_crow"])
+    joined = rows.join(F.broadcast(known) if few else known, same, "left").select(*own(docs), "_cq_known")
+    held = F.col("_cq_known").isNotNull()
     pattern = combined()
-    hinted = F.col("text").rlike(HINT)
-    matches = F.when(hinted, F.regexp_extract_all("text", F.lit(pattern), F.lit(0)))
-    gaps = F.when(hinted, F.split("text", pattern, -1))
-    cut = joined.withColumn("_cq_m", F.coalesce(matches, F.expr("CAST(array() AS ARRAY<STRING>)"))).withColumn("_cq_g", gaps)
-    parts = F.expr(f"zip_with(_cq_g, transform(_cq_m, m -> {replaced_sql('m', key, '_cq_tries')}), (g, s) -> concat(g, coalesce(s, '')))")
-    text = F.when(F.size("_cq_m") > 0, F.array_join(parts, "")).otherwise(F.col("text"))
-    kinds = F.expr(f"array_join(array_sort(array_distinct(transform(_cq_m, m -> {kind_sql('m')}))), ',')")
+    matches = F.when(held, F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).otherwise(F.expr("CAST(array() AS ARRAY<STRING>)"))
+    kinds = F.expr(f"transform(_cq_m, m -> named_struct('m', m, 'k', {kind_sql('m')}))")
+    cut = joined.withColumn("_cq_m", matches).withColumn("_cq_g", F.when(held, F.split("text", pattern, -1))).withColumn("_cq_mk", kinds)
+    parts = F.expr(f"zip_with(_cq_g, transform(_cq_mk, x -> {replaced_sql('x.m', 'x.k', '_cq_known')}), (g, s) -> concat(g, coalesce(s, '')))")
+    text = F.when(held, F.array_join(parts, "")).otherwise(F.col("text"))
+    kinds = F.array_join(F.array_sort(F.array_distinct(F.col("_cq_mk.k"))), ",")
     return cut.withColumns({"text": text, "_n": F.size("_cq_m").cast("bigint"), "_kinds": kinds}).select(*own(docs), "_n", "_kinds")
 
 
