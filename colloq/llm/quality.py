@@ -133,8 +133,10 @@ def _candidates(values: np.ndarray, y: np.ndarray, trees: int, depth: int, seed:
 def _lasso(r: np.ndarray, y: np.ndarray, penalty: float, steps: int = 600) -> tuple[float, np.ndarray]:
     """Logistic regression with an L1 penalty on all but the bias, by accelerated proximal gradients."""
     n, k = r.shape
-    scale = np.sqrt(np.maximum(r.mean(axis=0) * (1 - r.mean(axis=0)), 1e-3))
-    z = np.concatenate([np.ones((n, 1), "float32"), (r / scale).astype("float32")], axis=1)
+    rate = r.mean(axis=0)
+    scale = np.sqrt(np.maximum(rate * (1 - rate), 1e-3))
+    z = np.ones((n, k + 1), "float32")
+    np.divide(r, scale.astype("float32"), out=z[:, 1:], dtype="float32")
     v = np.ones(k + 1, "float32")
     for _ in range(20):
         v = z.T @ (z @ v)
@@ -157,13 +159,14 @@ def fit(values: np.ndarray, y: np.ndarray, names: list[str], trees: int = 60, de
         rate = (y.sum() + 1) / (len(y) + 2)
         return Rules(float(np.log(rate / (1 - rate))))
     found = _candidates(values, y, trees, depth, seed)
-    held = np.ones((len(y), len(found)), "float32")
-    for k, rule in enumerate(found):
+    held: dict[bytes, tuple] = {}  # rules that hold for the same rows are one
+    for rule in found:
+        hold = np.ones(len(y), bool)
         for c, above, t in rule:
-            held[:, k] *= (values[:, c] > t) == above
-    _, first = np.unique(held, axis=1, return_index=True)  # rules that hold for the same rows are one
-    found, held = [found[k] for k in sorted(first)], held[:, np.sort(first)]
-    bias, w = _lasso(held, y, penalty)
+            hold &= (values[:, c] > t) == above
+        held.setdefault(np.packbits(hold).tobytes(), rule)
+    found = list(held.values())
+    bias, w = _lasso(np.stack([np.unpackbits(np.frombuffer(b, "u1"), count=len(y)) for b in held], axis=1), y, penalty)
     keep = np.flatnonzero(np.abs(w) > 1e-3)
     return Rules(bias, [float(w[k]) for k in keep], [tuple((names[c], a, t) for c, a, t in found[k]) for k in keep])
 
