@@ -46,9 +46,8 @@ def n_words(c: Column) -> Column:
     return F.size(words(c))
 
 
-def shingles(loose_text: Column, k: int = 5) -> Column:
-    """Distinct runs of k words, at least one."""
-    w = F.split(loose_text, " ")
+def shingles(w: Column, k: int = 5) -> Column:
+    """Distinct runs of k words of an array column, at least one. Give it a column, not an expression: it is read for each run."""
     starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(w) - k + 1))
     return F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(w, i, k), " ")))
 
@@ -63,34 +62,22 @@ def tokens(c: Column) -> Column:
     return F.regexp_extract_all(s, F.lit(r"[a-z][a-z'\-]*[a-z]|[a-z]"), F.lit(0))
 
 
-def _content(t: Column, stop: Column) -> Column:
-    return ~F.array_contains(stop, t) & (F.length(t) > 2)
+def triples(toks: Column) -> Column:
+    """Each token with the two after it, as an array of (a, b, c) to explode."""
+    n = F.size(toks)
+    return F.arrays_zip(toks.alias("a"), F.slice(toks, 2, F.greatest(n, F.lit(1))).alias("b"), F.slice(toks, 3, F.greatest(n, F.lit(1))).alias("c"))
 
 
-def terms(toks: Column, stop: Column) -> Column:
-    """Content words, then pairs of adjacent content words."""
-    one = F.filter(toks, lambda t: _content(t, stop))
-    pairs = F.when(
-        F.size(toks) > 1,
-        F.filter(
-            F.transform(F.sequence(F.lit(1), F.size(toks) - 1), lambda i: F.slice(toks, i, 2)),
-            lambda p: _content(p[0], stop) & _content(p[1], stop),
-        ),
-    ).otherwise(F.expr("CAST(array() AS ARRAY<ARRAY<STRING>>)"))
-    return F.concat(one, F.transform(pairs, lambda p: F.concat_ws(" ", p[0], p[1])))
+def terms(a: Column, b: Column, stop: list[str]) -> Column:
+    """Terms that begin at a token: itself, and with the next one, if they are content words. Nulls are to be left out."""
+    content = lambda t: ~t.isin(stop) & (F.length(t) > 2)
+    return F.array(F.when(content(a), a), F.when(content(a) & content(b), F.concat_ws(" ", a, b)))
 
 
-def phrases(toks: Column, stop: Column) -> Column:
+def phrases(a: Column, b: Column, c: Column, stop: list[str]) -> Column:
     """Runs of two and three tokens that begin and end with no stop word and hold at least two others."""
-
-    def runs(n: int) -> Column:
-        all_ = F.when(
-            F.size(toks) >= n, F.transform(F.sequence(F.lit(1), F.size(toks) - (n - 1)), lambda i: F.slice(toks, i, n))
-        ).otherwise(F.expr("CAST(array() AS ARRAY<ARRAY<STRING>>)"))
-        no_stop = lambda t: ~F.array_contains(stop, t)
-        return F.filter(all_, lambda p: no_stop(p[0]) & no_stop(p[n - 1]) & (F.size(F.filter(p, no_stop)) >= 2))
-
-    return F.transform(F.concat(runs(2), runs(3)), lambda p: F.array_join(p, " "))
+    free = lambda t: t.isNotNull() & ~t.isin(stop)
+    return F.array(F.when(free(a) & free(b), F.concat_ws(" ", a, b)), F.when(free(a) & free(c), F.concat_ws(" ", a, b, c)))
 
 
 def lexicon_count(c: Column, category: str) -> Column:

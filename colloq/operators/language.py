@@ -13,14 +13,17 @@ MIN_FREQ, MIN_REACH = 5, 3
 PHRASE_REACH, PHRASE_TOP = 3, 30
 
 
-def _stop():
-    return F.lit(stop_words())
+def _tokens(items: DataFrame, *keep) -> DataFrame:
+    """A row for each token (a) with the two after it (b, c)."""
+    read = items.select(*keep, x.tokens(F.col("text")).alias("ts"))
+    return read.select("*", F.explode(x.triples(F.col("ts"))).alias("t")).select("*", "t.*").drop("ts", "t")
 
 
 def term_counts(items: DataFrame) -> DataFrame:
     """(side, term, freq, reach) of comments (text, person, overall); neutral ones are left out."""
     side = F.when(F.col("overall") < 0, "negative").when(F.col("overall") > 0, "positive").alias("side")
-    rows = items.select(side, "person", F.explode(x.terms(x.tokens(F.col("text")), _stop())).alias("term")).filter("side IS NOT NULL")
+    read = _tokens(items.filter("overall <> 0"), side, "person")
+    rows = read.select("side", "person", F.explode(x.terms(F.col("a"), F.col("b"), stop_words())).alias("term")).dropna(subset=["term"])
     return rows.groupBy("side", "term").agg(F.count(F.lit(1)).alias("freq"), F.count_distinct("person").alias("reach"))
 
 
@@ -59,7 +62,8 @@ def report(tested: DataFrame, rule: str = "adjusted", top: int = TOP) -> DataFra
 
 def phrase_counts(items: DataFrame, min_reach: int = PHRASE_REACH) -> DataFrame:
     """(phrase, reach, freq) used by at least ``min_reach`` people; ``items``: text, person."""
-    rows = items.select("person", F.explode(x.phrases(x.tokens(F.col("text")), _stop())).alias("phrase"))
+    found = x.phrases(F.col("a"), F.col("b"), F.col("c"), stop_words())
+    rows = _tokens(items, "person").select("person", F.explode(found).alias("phrase")).dropna(subset=["phrase"])
     return rows.groupBy("phrase").agg(F.count_distinct("person").alias("reach"), F.count(F.lit(1)).alias("freq")).filter(F.col("reach") >= min_reach)
 
 
