@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from .plans import language, measures
+from .plans import coding, language, measures
 
-_PARTS = (measures, language)
+_PARTS = (measures, language, coding)
 QUERIES = {k: f for part in _PARTS for k, f in part.QUERIES.items()}
 
 
