@@ -57,7 +57,7 @@ def test_thread_cap_size(spark, sizes, expected):
 
 
 def test_draw_equals_the_greedy_loop(spark):
-    posts = [(f"e{k}", f"p{k % 37}", f"t{k * k % 13}", f"text {k}") for k in range(400)]
+    posts = [(f"e{k}", f"p{k % 37}", f"t{k % 13}", f"text {k}") for k in range(400)]
     pool = spark.createDataFrame(posts, "post_id string, person string, thread string, text string")
     got = {r.post_id for r in sampling.measurement_sample(pool, seed=5, size=60).collect()}
     key = lambda p: (hashlib.sha256(f"5\0{p[1]}\0{p[3]}".encode()).hexdigest(), p[0])
