@@ -134,22 +134,30 @@ def _lasso(r: np.ndarray, y: np.ndarray, penalty: float, steps: int = 600) -> tu
     """Logistic regression with an L1 penalty on all but the bias, by accelerated proximal gradients."""
     n, k = r.shape
     rate = r.mean(axis=0)
-    scale = np.sqrt(np.maximum(rate * (1 - rate), 1e-3))
-    z = np.ones((n, k + 1), "float32")
-    np.divide(r, scale.astype("float32"), out=z[:, 1:], dtype="float32")
-    v = np.ones(k + 1, "float32")
+    scale = np.concatenate([[1.0], np.sqrt(np.maximum(rate * (1 - rate), 1e-3))])
+    blocks = [slice(a, a + 2048) for a in range(0, n, 2048)]
+
+    def times(w: np.ndarray) -> np.ndarray:
+        u = (w / scale).astype("float32")
+        return np.concatenate([u[0] + r[b].astype("float32") @ u[1:] for b in blocks])
+
+    def back(x: np.ndarray) -> np.ndarray:
+        x = x.astype("float32")
+        return np.concatenate([[x.sum()], sum(x[b] @ r[b].astype("float32") for b in blocks)]) / scale
+
+    v = np.ones(k + 1)
     for _ in range(20):
-        v = z.T @ (z @ v)
+        v = back(times(v))
         v /= np.linalg.norm(v)
-    rate = 4 * n / float(np.linalg.norm(z @ v) ** 2) * 0.95
+    step = 4 * n / float(np.linalg.norm(times(v)) ** 2) * 0.95
     w, m, t = np.zeros(k + 1), np.zeros(k + 1), 1.0
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-(z @ m.astype("float32")).astype("float64")))
-        new = m - rate * (z.T @ (p - y).astype("float32")).astype("float64") / n
-        new[1:] = np.sign(new[1:]) * np.maximum(np.abs(new[1:]) - rate * penalty, 0)
+        p = 1 / (1 + np.exp(-times(m).astype("float64")))
+        new = m - step * back(p - y) / n
+        new[1:] = np.sign(new[1:]) * np.maximum(np.abs(new[1:]) - step * penalty, 0)
         t2 = (1 + np.sqrt(1 + 4 * t * t)) / 2
         w, m, t = new, new + (t - 1) / t2 * (new - w), t2
-    return float(w[0]), w[1:] / scale
+    return float(w[0]), w[1:] / scale[1:]
 
 
 def fit(values: np.ndarray, y: np.ndarray, names: list[str], trees: int = 60, depth: int = 3, penalty: float = 0.002, seed: int = 7) -> Rules:
@@ -166,7 +174,10 @@ def fit(values: np.ndarray, y: np.ndarray, names: list[str], trees: int = 60, de
             hold &= (values[:, c] > t) == above
         held.setdefault(np.packbits(hold).tobytes(), rule)
     found = list(held.values())
-    bias, w = _lasso(np.stack([np.unpackbits(np.frombuffer(b, "u1"), count=len(y)) for b in held], axis=1), y, penalty)
+    holds = np.empty((len(y), len(held)), "u1")
+    for k, b in enumerate(held):
+        holds[:, k] = np.unpackbits(np.frombuffer(b, "u1"), count=len(y))
+    bias, w = _lasso(holds, y, penalty)
     keep = np.flatnonzero(np.abs(w) > 1e-3)
     return Rules(bias, [float(w[k]) for k in keep], [tuple((names[c], a, t) for c, a, t in found[k]) for k in keep])
 
@@ -189,9 +200,9 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "quality", sample: i
     rows = docs.select(doc_id.alias("_id"), "text").join(F.broadcast(drawn), "_id")
     rows = rows.select("_id", "_y", *[c.alias(k) for k, c in stats.items()])
     # A doc_id that repeats counts once; the bound holds for documents whatever the tables hold.
-    pdf = rows.groupBy("_id", "_y").agg(*[F.max(k).alias(k) for k in stats]).orderBy("_id").toPandas()
-    names = list(stats)
-    return fit(pdf[names].to_numpy("float64"), pdf["_y"].to_numpy("float64"), names)
+    table = rows.groupBy("_id", "_y").agg(*[F.max(k).alias(k) for k in stats]).toArrow().sort_by("_id")
+    values = np.column_stack([table[k].to_numpy() for k in stats]) if table.num_rows else np.zeros((0, len(stats)))
+    return fit(values, table["_y"].to_numpy().astype("float64"), list(stats))
 
 
 def scored(docs: DataFrame, rules: Rules) -> DataFrame:
