@@ -50,9 +50,12 @@ def dropped(*tables: DataFrame | None) -> None:
     """Delete written tables that nothing reads any more."""
     for df in tables:
         if df is not None:
-            jvm = df.sparkSession._jvm
-            at = jvm.org.apache.hadoop.fs.Path(df.written_path)
-            at.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
+            drop_folder(df.sparkSession, df.written_path)
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
 
 
 def release(spark: SparkSession) -> None:

@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import partial
 
 import numpy as np
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import dropped, load, new_path, release, written
+from .common import drop_folder, dropped, load, new_path, release, written
 
 WINDOW = 13
 GRAM = 6
@@ -135,6 +136,18 @@ class Chunk:
         return _mix(_spans(self.sums, starts, starts + WINDOW)), _mix(_spans(self.second, starts, starts + WINDOW), 1)
 
 
+@contextmanager
+def co_partitioned(spark: SparkSession) -> Iterator[None]:
+    """Joins on (gram, salt, chk) use the buckets by (gram, salt) as they are, without a shuffle of either side."""
+    key = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(key, "true")
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).astype("<u8").view("<i8"))
 
@@ -303,7 +316,7 @@ class FingerprintIndex:
     """Sorted immutable runs of stretches (``ROW``), each a table bucketed by (gram, salt)."""
 
     def __init__(self, spark: SparkSession, buckets: int = 64):
-        self.spark, self.buckets, self.runs = spark, buckets, []
+        self.spark, self.buckets, self.runs, self.paths = spark, buckets, [], {}
 
     def _write(self, df: DataFrame) -> str:
         path = new_path(self.spark, "fingerprint-run")
@@ -315,6 +328,7 @@ class FingerprintIndex:
         sorted_ = df.repartition(self.buckets, "gram", "salt").sortWithinPartitions("gram", "salt", "chk", "doc_id")
         writer = sorted_.write.mode("append").format("parquet").bucketBy(self.buckets, "gram", "salt")
         writer.sortBy("gram", "salt", "chk", "doc_id").option("path", path).saveAsTable(name)
+        self.paths[name] = path
         release(self.spark)
         return name
 
@@ -351,12 +365,17 @@ class FingerprintIndex:
         """Merge the runs into one; of a stretch that several hold, the first document stays."""
         if len(self.runs) > 1:
             first = self.history().filter("salt >= 0").groupBy("gram", "salt", "chk").agg(F.min(F.struct("doc_id", "nth")).alias("x"))
-            self.runs = [self._write(first.select("gram", "salt", "chk", "x.doc_id", "x.nth"))]
+            merged = self._write(first.select("gram", "salt", "chk", "x.doc_id", "x.nth"))
+            for run in self.runs:
+                self.spark.sql(f"DROP TABLE {run}")
+                drop_folder(self.spark, self.paths.pop(run))
+            self.runs = [merged]
 
 
 def _ingest(batch: DataFrame, earlier: DataFrame | None, index: FingerprintIndex, texts: bool) -> DataFrame:
     met, old = index.ingest(batch.filter("doc_id IS NOT NULL").mapInArrow(_stretch_rows, ROW))
-    met = written(met, "stretches-met")
+    with co_partitioned(batch.sparkSession):
+        met = written(met, "stretches-met")
     replies = met.groupBy("doc_id").agg(F.collect_list(F.struct("nth", "chk", "whole")).alias("met"))
     told = batch.join(replies, "doc_id", "left").select("doc_id", "text", F.xxhash64("text").alias("row"), "met")
     state = written(told.mapInArrow(partial(_apply, texts=texts), STATE), "substring-state")
