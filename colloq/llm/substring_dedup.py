@@ -313,10 +313,14 @@ def _source_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 class FingerprintIndex:
-    """Sorted immutable runs of stretches (``ROW``), each a table bucketed by (gram, salt)."""
+    """Sorted immutable runs of stretches (``ROW``), each a table bucketed by (gram, salt).
 
-    def __init__(self, spark: SparkSession, buckets: int = 64):
-        self.spark, self.buckets, self.runs, self.paths = spark, buckets, [], {}
+    There are as many buckets as shuffle partitions, 64 at least: one file a bucket, and buckets grow with the cluster.
+    """
+
+    def __init__(self, spark: SparkSession, buckets: int | None = None):
+        self.spark, self.runs, self.paths = spark, [], {}
+        self.buckets = buckets or max(64, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
     def _write(self, df: DataFrame) -> str:
         path = new_path(self.spark, "fingerprint-run")
