@@ -75,6 +75,21 @@ EXTRA_STOP = (
 
 def stop_words() -> list[str]:
     """Spark ML's English stop words and the additions, sorted."""
-    from pyspark.ml.feature import StopWordsRemover
 
-    return sorted({w.lower() for w in StopWordsRemover.loadDefaultStopWords("english")} | set(EXTRA_STOP))
+    return sorted({w.lower() for w in _english()} | set(EXTRA_STOP))
+
+
+def _english() -> list[str]:
+    """Spark's English list: from the session, or where none runs (the SQL is asked for first) from its jar."""
+    import zipfile
+    from pathlib import Path
+
+    import pyspark
+
+    if pyspark.SparkContext._active_spark_context is not None:
+        from pyspark.ml.feature import StopWordsRemover
+
+        return StopWordsRemover.loadDefaultStopWords("english")
+    jar = next((Path(pyspark.__file__).parent / "jars").glob("spark-mllib_*.jar"))
+    with zipfile.ZipFile(jar) as z:
+        return z.read("org/apache/spark/ml/feature/stopwords/english.txt").decode().split()
