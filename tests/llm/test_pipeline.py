@@ -36,3 +36,41 @@ def test_stages_take_effect(spark, tmp_path):
     packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert Counter(r.doc_id for r in packed if r.piece == 0) == Counter(clean_ids)
     assert quality.THRESHOLD == 0.7 and exact_dedup.SQL
+
+
+def plain_components(texts):
+    """Brute force: (components with the least number as root, Jaccard of each pair in an order)."""
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (t.lower().split() for t in texts)]
+    root, share = list(range(len(sets))), {}
+    def find(x):  # noqa: E306
+        while root[x] != x:
+            x = root[x]
+        return x
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(a & sets[j])
+            share[j, i] = both / (len(a) + len(sets[j]) - both)
+            if share[j, i] >= 0.8:
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    return [find(i) for i in range(len(sets))], share
+
+
+def kept_near(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    return {r.doc_id for r in corpus_pipeline.near_stage(spark, docs, "").collect()}
+
+
+def test_star_of_near_copies_is_one_group(spark):
+    rng = random.Random(5)
+    base = [f"w{k}" for k in range(200)]
+    texts = []
+    for _ in range(300):
+        copy = list(base)
+        for at in rng.sample(range(5, 195, 6), 4):  # 4 edits cost 20 of 196 shingles: 0.81 to the base, less to other copies
+            copy[at] = f"z{rng.random()}"
+        texts.append(" ".join(copy))
+    texts.insert(150, " ".join(base))
+    roots, share = plain_components(texts)
+    assert set(roots) == {0} and sum(s < 0.8 for s in share.values()) > 0.9 * len(share)
+    assert kept_near(spark, texts) == {0}
