@@ -101,10 +101,15 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b), written: the pairs whose sets share enough. Only sets that a pair asks for are dealt out."""
+    pairs = written(pairs, "near-pairs")
+    sets = sets.join(pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))), "rep", "left_semi")
     ha = sets.select(F.col("rep").alias("a"), F.col("hashes").alias("ha"))
     hb = sets.select(F.col("rep").alias("b"), F.col("hashes").alias("hb"))
     full = pairs.join(ha, "a").join(hb, "b").select("a", "b", "ha", "hb")
-    return full.mapInArrow(_verify, "a bigint, b bigint").distinct()
+    out = written(full.mapInArrow(_verify, "a bigint, b bigint").distinct(), "near-links")
+    dropped(pairs)
+    return out
 
 
 def _close(small: str, large: str) -> Column:
@@ -129,7 +134,7 @@ def links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     texts = docs.join(used, "doc_id", "left_semi").select("doc_id", "text")
     sets = written(texts.mapInArrow(_sets, "rep bigint, hashes binary"), "shingle-sets")
     pairs = members.filter("a <> rep").filter(_close("size", "size_a") & _close("size_a", "size")).select("a", F.col("rep").alias("b")).distinct()
-    edges = written(_verified(pairs, sets), "near-links")
+    edges = _verified(pairs, sets)
     members_ = members.select("key", "rep", "size", "short")
     labels = written(components(edges), "near-components")
     for _ in range(ROUNDS):
@@ -139,7 +144,7 @@ def links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
         lead = open_.groupBy("key").agg(best.alias("x")).filter("x.degree > 0").select("key", "x.rep", "x.size", "x.component")
         lead = lead.select("key", F.col("rep").alias("a"), F.col("size").alias("size_a"), F.col("component").alias("component_a"))
         held = open_.join(lead, "key").filter("component <> component_a").filter(_close("size", "size_a") & _close("size_a", "size"))
-        more = written(_verified(held.select("a", F.col("rep").alias("b")).distinct(), sets), "near-links")
+        more = _verified(held.select("a", F.col("rep").alias("b")).distinct(), sets)
         if not more.limit(1).count():
             break
         edges = edges.unionByName(more)
@@ -149,7 +154,7 @@ def links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     two = open_.select("key", F.col("rep").alias("b"), F.col("size").alias("size_b"), F.col("component").alias("component_b"))
     ahead = F.struct("size_a", "a") < F.struct("size_b", "b")
     pairs = one.join(two, "key").filter(ahead & (F.col("component_a") != F.col("component_b")) & _close("size_a", "size_b")).select("a", "b").distinct()
-    last = written(_verified(pairs, sets), "near-links")
+    last = _verified(pairs, sets)
     dropped(members, sets, open_)
     return components(edges.unionByName(last)) if last.limit(1).count() else labels
 
@@ -169,6 +174,7 @@ def near_components(docs: DataFrame) -> DataFrame:
     equal = written(sketches.select("doc_id", "mark").join(same, "mark").filter("rep <> doc_id").select("doc_id", "mark", "rep").distinct(), "equal-sets")
     nodes = sketches.join(equal, ["doc_id", "mark"], "left_anti").select(F.col("doc_id").alias("rep"), "size", "short", "keys")
     linked = links(nodes, slim)
+    dropped(sketches)
     # a document with several texts can be a node and equal to another: equal sets are edges like any other
     labels = components(linked.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(equal.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))))
     return labels.filter("node <> component").select(F.col("node").alias("doc_id"), F.col("component").alias("component_id")).distinct()

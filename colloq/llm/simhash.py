@@ -7,7 +7,7 @@ prefixes are held to their proportional budgets, and only what passes gets the f
 
 With t = 2 over 64 bits and 16 segments the equal part is seven segments and the search is exact. For wide
 thresholds the equal part that the theorem grants is too short to be selective; there ``clean`` bits are asked for on
-several rings (fixed shuffles of the bits), and the recall is measured by the tests instead.
+several rings (fixed shuffles of the bits) without budgets, which loses links; the pipeline does not use it.
 
 Classes of equal fingerprints are one node each. A key with at most ``LIGHT`` nodes is checked pair by pair. For larger
 ones: with t = 2 all nodes of such keys go through their 65 one-bit neighbours, where nodes that meet are within two

@@ -74,3 +74,18 @@ def test_star_of_near_copies_is_one_group(spark):
     roots, share = plain_components(texts)
     assert set(roots) == {0} and sum(s < 0.8 for s in share.values()) > 0.9 * len(share)
     assert kept_near(spark, texts) == {0}
+
+
+def test_all_pairs_at_the_threshold_are_found(spark):
+    rng = random.Random(6)
+    texts = []
+    for g in range(150):  # pairs at a Jaccard of 0.75 to 0.9, by one run of words left out
+        base = [f"g{g}w{k}" for k in range(204)]
+        copy = list(base)
+        copy[100 : 100 + rng.randint(12, 42)] = []
+        texts += [" ".join(base), " ".join(copy)]
+    roots, share = plain_components(texts)
+    bands = Counter(int(share[2 * g, 2 * g + 1] * 50) for g in range(150))
+    assert all(bands[b] >= 5 for b in range(40, 45))
+    kept = kept_near(spark, texts)
+    assert kept == {i for i, r in enumerate(roots) if r == i}
