@@ -89,3 +89,15 @@ def test_all_pairs_at_the_threshold_are_found(spark):
     assert all(bands[b] >= 5 for b in range(40, 45))
     kept = kept_near(spark, texts)
     assert kept == {i for i, r in enumerate(roots) if r == i}
+
+
+def test_documents_below_the_threshold_stay(spark):
+    rng = random.Random(7)
+    texts = []
+    for g in range(150):
+        base = [f"g{g}w{k}" for k in range(204)]
+        copy = list(base)
+        for at in rng.sample(range(5, 195, 6), 5):  # 175 of 225 shingles shared: 0.78
+            copy[at] = f"g{g}z{at}"
+        texts += [" ".join(base), " ".join(copy)]
+    assert kept_near(spark, texts) == set(range(300))
