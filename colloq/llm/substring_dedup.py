@@ -320,6 +320,7 @@ class FingerprintIndex:
 
     def __init__(self, spark: SparkSession, buckets: int | None = None):
         self.spark, self.runs, self.paths = spark, [], {}
+        self.delivered: list[DataFrame] = []  # (doc_id, text) of the calls before
         self.buckets = buckets or max(64, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
     def _write(self, df: DataFrame) -> str:
@@ -407,9 +408,12 @@ def substring_dedup(docs: DataFrame, batches: int = 2, texts: bool = False, inde
     """One row a document: doc_id, n_words, n_removed, kept_sha256, and with ``texts`` the kept words.
 
     The documents are ingested in ``batches`` ascending ranges of doc_id, each against the runs of those before it.
+    An ``index`` that is passed holds the runs and the texts of the calls it was passed to before, and this call's after it; so
+    deliveries give what one call over all their documents gives, if each has larger doc_ids than those before it.
     """
     spark = docs.sparkSession
     slim = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    keep = index is not None
     index = index or FingerprintIndex(spark)
     lo, hi = slim.agg(F.min("doc_id"), F.max("doc_id")).first()
     edges = [lo + (hi + 1 - lo) * k // batches for k in range(batches + 1)] if lo is not None else [0, 0]
@@ -417,9 +421,13 @@ def substring_dedup(docs: DataFrame, batches: int = 2, texts: bool = False, inde
     for k in range(len(edges) - 1):
         batch = slim.filter((F.col("doc_id") >= edges[k]) & (F.col("doc_id") < edges[k + 1]) | (F.col("doc_id").isNull() if k == 0 else F.lit(False)))
         earlier = slim.filter(F.col("doc_id") < edges[k]) if k else None
+        for texts_before in index.delivered:
+            earlier = texts_before if earlier is None else earlier.unionByName(texts_before)
         parts.append(_ingest(batch, earlier, index, texts))
         if len(index.runs) > MOST_RUNS:
             index.compact()
+    if keep:
+        index.delivered.append(written(slim.filter("doc_id IS NOT NULL"), "delivered-texts"))
     whole = parts[0]
     for more in parts[1:]:
         whole = whole.unionByName(more)

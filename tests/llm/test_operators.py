@@ -98,6 +98,25 @@ def test_substring_runs_compact_to_the_same_result(spark, docs, rows, monkeypatc
     assert len(index.runs) <= 3
 
 
+@pytest.mark.parametrize("most_runs", [1, 4])
+def test_deliveries_on_one_index_are_like_one_call(spark, monkeypatch, most_runs):
+    monkeypatch.setattr(substring_dedup, "MOST_RUNS", most_runs)
+    rng = random.Random(12)
+    passage = [f"p{k}" for k in range(40)]
+    rows = []
+    for i in range(18):  # parts of one passage, some edited, so that stretches at their ends are not wholly equal
+        part = passage[rng.randrange(12) : 40 - rng.randrange(12)]
+        if i % 3 == 2:
+            part[len(part) // 2] = f"e{i}"
+        rows.append((i, " ".join([f"a{rng.random()}" for _ in range(9)] + part + [f"b{rng.random()}" for _ in range(9)])))
+    index = substring_dedup.FingerprintIndex(spark, buckets=2)
+    found = []
+    for k in range(0, 18, 6):
+        batch = spark.createDataFrame(rows[k : k + 6], "doc_id bigint, text string")
+        found += substring_dedup.substring_dedup(batch, batches=1 + (k == 6), index=index).collect()
+    assert Counter(map(tuple, found)) == removed(rows)
+
+
 def test_hot_gram_with_many_contexts(spark):
     rng = random.Random(2)
     line = " ".join(f"licence{k}" for k in range(14))
