@@ -132,17 +132,26 @@ class Segment:
         return found
 
     def close(self, terms: np.ndarray, span: int) -> np.ndarray:
-        """Places of the rarest term with every other term less than ``span`` positions away, all within ``span``."""
-        order = np.argsort(self.size[terms], kind="stable")
-        anchor = self.list_of(terms[order[0]]).astype("int64")
-        low, high = anchor.copy(), anchor.copy()
-        for k in order[1:]:
-            places = self.list_of(terms[k])
-            at = np.searchsorted(places, anchor)
-            left, right = places[np.maximum(at - 1, 0)], places[np.minimum(at, len(places) - 1)]
-            near = np.where(np.abs(left - anchor) <= np.abs(right - anchor), left, right)
-            low, high = np.minimum(low, near), np.maximum(high, near)
-        return anchor[high - low < span]
+        """Places of the rarest term that lie, with a place of every other term, in some ``span`` words of one document."""
+        order = terms[np.argsort(self.size[terms], kind="stable")]
+        anchor = self.list_of(order[0]).astype("int64")
+        others = [self.list_of(k) for k in dict.fromkeys(order.tolist()) if k != order[0]]
+        for places in others:  # without a place less than the span away there is nothing to sweep
+            anchor = anchor[np.searchsorted(places, anchor - span + 1) < np.searchsorted(places, anchor + span)]
+        of = self.document(anchor)
+        low, end = self.starts[of], self.starts[of] + self.counts[of]
+        found = []
+        some = max(1, 2**20 // span)
+        for k in range(0, len(anchor), some):  # every start of a window around these places
+            a, floor, stop = (x[k : k + some] for x in (anchor, low, end))
+            start = a[:, None] - np.arange(span)
+            ok = start >= floor[:, None]
+            limit = np.minimum(start + span, stop[:, None])
+            for places in others:
+                at = np.searchsorted(places, start)
+                ok &= (at < len(places)) & (places[np.minimum(at, len(places) - 1)] < limit)
+            found.append(a[ok.any(axis=1)])
+        return np.concatenate(found) if found else anchor
 
     def document(self, places: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.starts, places, side="right") - 1
@@ -185,7 +194,7 @@ def _near(batches: Iterator[pa.RecordBatch], blocks, slop: int) -> Iterator[pa.R
             s = Segment(row, windows.terms)
             for length, names, matrix in windows.sets:
                 for w in s.present(matrix):
-                    for place in s.close(matrix[w], min(length + slop, GAP)):
+                    for place in s.close(matrix[w], length + slop):
                         d = int(s.document(np.array([place]))[0])
                         rows.append((int(s.ids[d]) if s.known[d] else None, names[w], int(place - s.starts[d])))
         cols = list(zip(*rows, strict=True)) or [[]] * 3

@@ -408,6 +408,22 @@ def test_no_items_and_near_matches(spark, docs, empty, rows):
     assert {(r.doc_id, r.item_id) for r in near.collect()} == {(1, "9")}
 
 
+def test_near_matches_try_every_place_of_a_term(spark):
+    rng = random.Random(13)
+    item = ["t0", "t1", "t2", "t3"]
+    texts = [["t1", "x", "x", "t0", "x", "x", "x", "t1", "t2", "t3"]]
+    texts += [[rng.choice([*item, "x", "y", "z", "z"]) for _ in range(rng.randrange(60))] for _ in range(80)]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id bigint, text string")
+    for slop in (1, 3, 90):
+        near = decontaminate.near_matches(docs, items, window=4, slop=slop).collect()
+        want = {i for i, t in enumerate(texts) if any(set(item) <= set(t[k : k + 4 + slop]) for k in range(len(t)))}
+        assert {r.doc_id for r in near} == want
+    far = [["t0", "t1"] + ["x"] * 80 + ["t2", "t3"], ["t0", "t1"], ["t2", "t3"]]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(far)], "doc_id bigint, text string")
+    assert {r.doc_id for r in decontaminate.near_matches(docs, items, window=4, slop=90).collect()} == {0}
+
+
 # --- 8 ---------------------------------------------------------------------------------------------------------------
 
 
