@@ -290,14 +290,33 @@ def without_caps(weighted: DataFrame) -> DataFrame:
     return out.select("n_people", "n_items", "status", F.when(F.col("status") != "counts-only", 100 * F.col("neg") / F.col("total")).alias("pct"))
 
 
-def heard_enough(tags: DataFrame, orders: int, seed: int) -> DataFrame:
-    """(place, mean): topics found after so many posts, over ``orders`` random reading orders. ``tags``: post_id, topic."""
+def heard_range(tags: DataFrame, orders: int, seed: int) -> DataFrame:
+    """Topics found after so many posts, over ``orders`` random reading orders: (place, mean, low, high, last_posts, last_new).
+
+    ``low`` and ``high`` hold 95 % of the orders; ``last_new`` is what the last tenth of the posts adds to the mean. ``tags``: post_id,
+    topic. Places come from counts of posts between the first posts of topics, so no order is sorted as a whole.
+    """
     posts = tags.select("post_id").distinct()
-    runs = tags.sparkSession.range(orders).select(F.col("id").alias("run"))
-    h = F.sha2(F.concat_ws(":", F.lit(seed), "run", "post_id"), 256)
-    place = posts.crossJoin(F.broadcast(runs)).withColumn("place", F.row_number().over(Window.partitionBy("run").orderBy(h, "post_id")))
-    first = tags.filter("topic IS NOT NULL").join(place, "post_id").groupBy("run", "topic").agg(F.min("place").alias("place"))
-    new = first.groupBy("place").agg((F.count(F.lit(1)) / F.lit(float(orders))).alias("new"))
-    every = posts.sparkSession.range(1, posts.count() + 1).select(F.col("id").alias("place"))
-    grown = every.join(new, "place", "left").withColumn("mean", F.sum(F.coalesce("new", F.lit(0.0))).over(Window.orderBy("place")))
-    return grown.select("place", F.round("mean", 6).alias("mean"))
+    runs = F.broadcast(tags.sparkSession.range(orders).select(F.col("id").alias("run")))
+    at = F.struct(F.sha2(F.concat_ws(":", F.lit(seed), "run", "post_id"), 256).alias("h"), "post_id").alias("at")
+    first = tags.filter("topic IS NOT NULL").crossJoin(runs).select("run", "topic", at).groupBy("run", "topic").agg(F.min("at").alias("at"))
+    cuts = first.groupBy("run").agg(F.sort_array(F.collect_list("at")).alias("cuts"))
+    ahead = F.size(F.filter("cuts", lambda c: c < F.col("at"))).alias("ahead")
+    between = posts.crossJoin(runs).select("run", at).join(F.broadcast(cuts), "run").select("run", ahead).groupBy("run", "ahead").agg(F.count(F.lit(1)).alias("n"))
+    places = cuts.select("run", F.posexplode("cuts").alias("nth", "_at")).select("run", "nth").join(between, "run").filter("ahead <= nth").groupBy("run", "nth").agg(F.sum("n").alias("place"))
+    new = places.groupBy("run", "place").agg(F.count(F.lit(1)).alias("new"))
+    steps = new.select("place").unionByName(tags.sparkSession.range(1, 2).select(F.col("id").alias("place"))).distinct()
+    so_far = F.sum(F.coalesce("new", F.lit(0))).over(Window.partitionBy("run").orderBy("place"))
+    found = steps.crossJoin(runs).join(new, ["run", "place"], "left").select("place", so_far.alias("found"))
+    n = posts.count()
+    held = found.groupBy("place").agg(F.avg("found").alias("mean"), F.percentile("found", F.lit(0.025)).alias("low"), F.percentile("found", F.lit(0.975)).alias("high"))
+    held = held.withColumn("upto", F.coalesce(F.lead("place").over(Window.orderBy("place")) - 1, F.lit(n).cast("bigint"))).filter("place <= upto")
+    last = max(1, n // 10)
+    at_end = lambda k: F.max(F.when(F.lit(k).between(F.col("place"), F.col("upto")), F.col("mean")))
+    gain = held.agg((at_end(n) - at_end(n - last)).alias("last_new"))
+    return held.crossJoin(F.broadcast(gain)).select(F.explode(F.sequence("place", "upto")).alias("place"), "mean", "low", "high", F.lit(last).alias("last_posts"), "last_new")
+
+
+def heard_enough(tags: DataFrame, orders: int, seed: int) -> DataFrame:
+    """(place, mean) of ``heard_range``."""
+    return heard_range(tags, orders, seed).select("place", F.round("mean", 6).alias("mean"))

@@ -112,9 +112,18 @@ o AS (SELECT kind, removed, count(*) FILTER (overall < 0) AS k, count(*) AS n, c
 _TOPICS = "SELECT post_id, CASE WHEN event_id % 5 = 0 THEN NULL ELSE 't' || CAST(event_id % 17 AS VARCHAR(20)) END AS topic FROM events WHERE event_id < 120"
 
 
+def _tags(spark, sf, where: str = "TRUE"):
+    return v.select(spark, sf, {"post_id": v.POSTS["post_id"], "topic": "CASE WHEN event_id % 5 = 0 THEN NULL ELSE 't' || CAST(event_id % 17 AS VARCHAR(20)) END"}, "events", where)
+
+
 def _heard(spark, sf):
-    tags = v.select(spark, sf, {"post_id": v.POSTS["post_id"], "topic": "CASE WHEN event_id % 5 = 0 THEN NULL ELSE 't' || CAST(event_id % 17 AS VARCHAR(20)) END"}, "events", "event_id < 120")
-    return stats.heard_enough(tags, 40, SEED)
+    """The part of the events that its SQL takes; ``saturation_range`` takes all."""
+    return stats.heard_enough(_tags(spark, sf, "event_id < 120"), 40, SEED)
+
+
+def _heard_range(spark, sf):
+    rounded = [F.round(c, 6).alias(c) for c in ("mean", "low", "high")]
+    return stats.heard_range(_tags(spark, sf), 40, SEED).select("place", *rounded, "last_posts", F.round("last_new", 6).alias("last_new"))
 
 
 def _period_sql(key: str) -> str:
@@ -149,6 +158,7 @@ QUERIES = {
     "cap_weights": lambda s, d: _uncapped(s, d).select("post_id", F.round("weight", 9).alias("weight")),
     "uncapped_estimate": lambda s, d: stats.without_caps(_uncapped(s, d)).withColumn("pct", F.round("pct", 6)),
     "saturation_curve": _heard,
+    "saturation_range": _heard_range,
 }
 
 _W = f"WITH {v.P}, {_FRAME} "

@@ -4,6 +4,7 @@ import datetime as dt
 import hashlib
 import hmac
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -143,3 +144,25 @@ def test_reply_tree_and_speakers(spark):
     turns = [("t", 0, "A", "x", None), ("t", 1, None, "y", 2.0), ("t", 2, "B", "z", None)]
     merged = conversation.merge_speakers(spark.createDataFrame(turns, "thread string, ord int, speaker string, text string, end_s double"))
     assert [(r.speaker, r.text, r.end_s) for r in merged.orderBy("seg").collect()] == [("A", "x y", 2.0), ("B", "z", None)]
+
+
+def test_heard_range_equals_reading_the_posts_in_each_order(spark):
+    tags = [(f"E{i}", f"t{i * i % 13}" if i % 5 else None) for i in range(57)] + [("E3", "t50"), ("E8", "t51")]
+    posts, topics = sorted({p for p, _ in tags}), {t for _, t in tags if t}
+    found = []
+    for run in range(12):
+        order = sorted(posts, key=lambda p: (hashlib.sha256(f"7:{run}:{p}".encode()).hexdigest(), p))
+        firsts = [min(order.index(p) for p, x in tags if x == t) for t in topics]
+        found.append(np.bincount(firsts, minlength=len(posts)).cumsum())
+    got = stats.heard_range(spark.createDataFrame(tags, "post_id string, topic string"), 12, 7).orderBy("place").collect()
+    mean = np.mean(found, axis=0)
+    assert [r.place for r in got] == list(range(1, len(posts) + 1))
+    for name, want in (("mean", mean), ("low", np.percentile(found, 2.5, axis=0)), ("high", np.percentile(found, 97.5, axis=0))):
+        assert np.allclose([r[name] for r in got], want)
+    assert {r.last_posts for r in got} == {5} and np.allclose([r.last_new for r in got], mean[-1] - mean[-6])
+
+
+def test_saturation_range_reads_all_events(spark):
+    found = __spark_entry__.queries()["saturation_range"](spark, __spark_entry__.SMOKE_DIR)
+    events = spark.read.parquet(f"{__spark_entry__.SMOKE_DIR}/events.parquet").select("event_id").distinct().count()
+    assert found.count() == events > 120
