@@ -17,9 +17,13 @@ one kind every document has that kind's smoothed rate. An empty table gives no r
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import partial
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -189,8 +193,18 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def _fit_rows(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """The rules of the sample, as one row of JSON."""
+    table = pa.Table.from_batches(list(batches))
+    if table.num_rows:
+        table = table.sort_by("_id")
+        values = np.column_stack([table[k].to_numpy() for k in names])
+        rules = fit(values, table["_y"].to_numpy().astype("float64"), names)
+        yield pa.RecordBatch.from_pydict({"rules": [json.dumps([rules.bias, rules.weights, rules.rules])]})
+
+
 def train(docs: DataFrame, labels: DataFrame, target: str = "quality", sample: int = SAMPLE) -> Rules:
-    """Fit to a sample of at most ``sample`` labelled documents (its statistics are all that reaches the driver)."""
+    """Fit to a sample of at most ``sample`` labelled documents, in one task; the driver gets the rules alone."""
     doc_id = F.col("doc_id").cast("bigint")
     known = labels.select(doc_id.alias("_id"), F.col(target).cast("int").alias("_y")).dropna()
     known = known.filter(~held_out(F.col("_id"))).groupBy("_id").agg(F.max("_y").alias("_y"))
@@ -200,26 +214,39 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "quality", sample: i
     rows = docs.select(doc_id.alias("_id"), "text").join(F.broadcast(drawn), "_id")
     rows = rows.select("_id", "_y", *[c.alias(k) for k, c in stats.items()])
     # A doc_id that repeats counts once; the bound holds for documents whatever the tables hold.
-    table = rows.groupBy("_id", "_y").agg(*[F.max(k).alias(k) for k in stats]).toArrow().sort_by("_id")
-    values = np.column_stack([table[k].to_numpy() for k in stats]) if table.num_rows else np.zeros((0, len(stats)))
-    return fit(values, table["_y"].to_numpy().astype("float64"), list(stats))
+    table = rows.groupBy("_id", "_y").agg(*[F.max(k).alias(k) for k in stats])
+    found = table.repartition(1).mapInArrow(partial(_fit_rows, names=list(stats)), "rules string").first()
+    if found is None:  # no label at all
+        return Rules(40.0)
+    bias, weights, rules = json.loads(found[0])
+    return Rules(bias, weights, [tuple(tuple(x) for x in rule) for rule in rules])
 
 
 def scored(docs: DataFrame, rules: Rules) -> DataFrame:
-    """``docs`` with the column ``_score``."""
-    packed = docs.select(F.struct(*own(docs)).alias("_row"), F.coalesce(F.col("text"), F.lit("")).alias("_text"))
-    stats = statistics(F.col("_text"))
+    """(row: all columns of ``docs``, score): rows are packed, so no column can clash."""
+    packed = docs.select(F.struct(*own(docs)).alias("row"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    stats = statistics(F.col("text"))
     used = {name for rule in rules.rules for name, _, _ in rule}
-    measured = packed.select("_row", *[c.alias(k) for k, c in stats.items() if k in used])
-    return measured.select("_row.*", F.expr(rules.expression()).alias("_score"))
+    measured = packed.select("row", *[c.alias(k) for k, c in stats.items() if k in used])
+    return measured.select("row", F.expr(rules.expression()).alias("score"))
+
+
+def keep_good(docs: DataFrame, rules: Rules, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` whose score reaches the threshold.
+
+    The condition on a row number, always true, keeps the optimizer from pushing the filter below the statistics: there
+    it would write each of them out again wherever a rule names it.
+    """
+    good = F.when(F.monotonically_increasing_id() >= 0, F.col("score")).alias("score")
+    return scored(docs, rules).select("row", good).filter(F.col("score") >= threshold).select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
     found = scored(docs.select("doc_id", "text"), train(docs, labels))
     return found.select(
-        "doc_id",
-        held_out(F.col("doc_id")).alias("held_out"),
-        F.col("_score").alias("score"),
-        (F.col("_score") >= THRESHOLD).cast("int").alias("predicted"),
+        F.col("row.doc_id").alias("doc_id"),
+        held_out(F.col("row.doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
     )
