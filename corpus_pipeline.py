@@ -11,16 +11,15 @@ classifier, if a copy of it stays, or if it holds a benchmark window.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from colloq.llm import decontaminate, exact_dedup, packing, quality, simhash
-from colloq.llm.common import load, own, written
+from colloq.llm.common import load, written
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject (10)."""
     rules = quality.train(docs, load(spark, sf_dir, "labels"))
-    return quality.scored(docs, rules).filter(F.col("_score") >= quality.THRESHOLD).select(own(docs))
+    return quality.keep_good(docs, rules)
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
