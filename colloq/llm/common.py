@@ -2,25 +2,33 @@
 
 from __future__ import annotations
 
-import gc
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _OWN_FOLDER: list[str] = []
 
+#: Larger tables are shuffled instead of being sent to all tasks.
+BROADCAST_BYTES = 32 << 20
+
 
 def shared_root(spark: SparkSession) -> str:
     """Folder that the driver and all executors share.
 
-    It is the session's ``spark.checkpoint.dir``. Only where that is unset (tests on one machine) is a
-    temporary folder made and used instead.
+    It is the session's ``spark.checkpoint.dir``. Where that is unset, a temporary folder is made if all tasks run on this
+    machine, as in tests; on a cluster nothing local will do, so it is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
+    master = spark.conf.get("spark.master", "")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master or 'the cluster'} share")
     if not _OWN_FOLDER:
         _OWN_FOLDER.append(tempfile.mkdtemp(prefix="colloq-"))
     return _OWN_FOLDER[0]
@@ -39,8 +47,8 @@ def written(df: DataFrame, what: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_path(spark, what)
-    df.write.parquet(path)
-    release(spark)
+    with tidy(spark):
+        df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.written_path = path
     return out
@@ -58,10 +66,28 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner remove the shuffle files of jobs that have ended."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+def files_of(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that fit a pattern, in order."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).globStatus(at)
+    return sorted(x.getPath().toString() for x in found or [])
+
+
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """What is written here removes its own shuffle files when it has ended."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def fits(rows: int, row_bytes: int) -> bool:
+    """Whether a table of so many rows, of at most so many bytes each, may be sent to every task."""
+    return rows * row_bytes <= BROADCAST_BYTES
 
 
 def salt_of(columns: list[Column], salts: int) -> Column:
