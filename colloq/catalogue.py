@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from .plans import coding, language, measures
+from .plans import coding, language, measures, sources, study
 
-_PARTS = (measures, language, coding)
+_PARTS = (measures, language, coding, sources, study)
 QUERIES = {k: f for part in _PARTS for k, f in part.QUERIES.items()}
 
 

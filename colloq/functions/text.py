@@ -154,13 +154,9 @@ def strip_prefix(c: Column) -> Column:
 
 
 def parse_time(c: Column) -> Column:
-    """Unix seconds (UTC, cut to the minute), else an ISO date or time, else null."""
-    unix = F.date_trunc("minute", F.timestamp_seconds(F.expr(f"try_cast({_name(c)} AS DOUBLE)")))
-    return F.coalesce(unix, F.expr(f"try_to_timestamp({_name(c)})")).cast("timestamp_ntz")
-
-
-def _name(c) -> str:
-    return c if isinstance(c, str) else c._jc.toString()
+    """Unix seconds (UTC, cut to the minute), else an ISO date or time (one with an offset as UTC), else null."""
+    unix = F.date_trunc("minute", F.timestamp_seconds(c.try_cast("double")))
+    return F.coalesce(unix, F.try_to_timestamp(F.trim(c))).cast("timestamp_ntz")
 
 
 def parse_score(c: Column) -> Column:
@@ -172,7 +168,7 @@ def age_to_date(age: Column, captured: Column) -> Column:
     pattern = r"^(\d+)\s?(s|m|min|h|hr|d|w|mo|y|yr)s?\.? ago$"
     n, unit = F.regexp_extract(age, pattern, 1), F.regexp_extract(age, pattern, 2)
     days = F.when(unit == "d", 1).when(unit == "w", 7).when(unit == "mo", 30).when(unit.isin("y", "yr"), 365).otherwise(0)
-    return F.when(n != "", F.date_sub(captured, F.expr("0") + n.try_cast("int") * days))
+    return F.when(n != "", F.date_sub(captured, n.try_cast("int") * days))
 
 
 def votes(c: Column) -> Column:

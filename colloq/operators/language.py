@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as x
 from ..functions.lexicon import stop_words
+from ..workspace import written
 
 Q, TOP = 0.05, 15
 MIN_FREQ, MIN_REACH = 5, 3
@@ -67,19 +68,30 @@ def phrase_counts(items: DataFrame, min_reach: int = PHRASE_REACH) -> DataFrame:
     return rows.groupBy("phrase").agg(F.count_distinct("person").alias("reach"), F.count(F.lit(1)).alias("freq")).filter(F.col("reach") >= min_reach)
 
 
-def shared_phrases(counted: DataFrame, top: int = PHRASE_TOP) -> DataFrame:
+def shared_phrases(counted: DataFrame, top: int = PHRASE_TOP, step: int = 64) -> DataFrame:
     """The widest phrases; one that overlaps a kept phrase and has at least .8 of its reach is dropped.
 
-    Greedy by rank: rows come sorted from Spark and are read one by one until ``top`` are kept, so the driver holds
-    the kept phrases only.
+    Greedy by rank, in rounds: each brings the first ``step`` phrases that no kept one drops, so however many overlap, the driver reads
+    at most ``step`` rows a round, and there are at most ``top`` rounds.
     """
     spark = counted.sparkSession
-    order = counted.orderBy(F.desc("reach"), F.desc(F.size(F.split("phrase", " "))), F.desc("freq"), "phrase")
+    counted = written(counted, "phrase-counts")
+    order = [F.desc("reach"), F.desc(F.size(F.split("phrase", " "))), F.desc("freq"), "phrase"]
     kept: list[tuple[str, int, int]] = []
-    pairs = lambda p: set(zip(p.split(), p.split()[1:]))
-    for phrase, reach, freq in order.select("phrase", "reach", "freq").toLocalIterator():
-        if not any(reach >= 0.8 * r and (phrase in q or pairs(phrase) & pairs(q)) for q, r, _ in kept):
-            kept.append((phrase, reach, freq))
-        if len(kept) == top:
+    pairs = lambda p: list(zip(p.split(), p.split()[1:]))
+    drops = lambda p, reach: any(reach >= 0.8 * r and (p in q or set(pairs(p)) & set(pairs(q))) for q, r, _ in kept)
+    words = F.split("phrase", " ")
+    own = F.transform(F.sequence(F.lit(1), F.size(words) - 1), lambda i: F.concat_ws(" ", F.element_at(words, i), F.element_at(words, i + 1)))
+    rest = counted.withColumn("_pairs", own)
+    while len(kept) < top:
+        free = rest
+        for q, r, _ in kept:
+            shared = F.arrays_overlap("_pairs", F.array(*[F.lit(" ".join(p)) for p in pairs(q)]))
+            free = free.filter(~((F.col("reach") >= 0.8 * r) & (F.contains(F.lit(q), F.col("phrase")) | shared)) & (F.col("phrase") != q))
+        found = free.orderBy(*order).select("phrase", "reach", "freq").limit(step).collect()
+        if not found:
             break
+        for phrase, reach, freq in found:
+            if len(kept) < top and not drops(phrase, reach):
+                kept.append((phrase, reach, freq))
     return spark.createDataFrame(kept, "phrase string, reach bigint, freq bigint")

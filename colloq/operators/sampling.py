@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import thresholds as t
 from ..functions import text as x
+from ..workspace import written
 
 
 def frame(posts: DataFrame, min_words: int = t.MIN_WORDS) -> DataFrame:
@@ -61,7 +62,7 @@ def draw(capped: DataFrame, n: int, cap: int) -> DataFrame:
 
 def measurement_sample(pool: DataFrame, seed: int, size: int = t.MEASUREMENT_SIZE, cap: int = t.PERSON_CAP, pct: int = t.THREAD_CAP_PCT) -> DataFrame:
     """The doubly capped random sample; an error if no size fits the thread cap."""
-    capped = person_cap(pool, seed, cap)
+    capped = written(person_cap(pool, seed, cap), "capped-pool")
     n, most = thread_cap_size(capped, size, pct).first()
     if not n and capped.limit(1).count():
         raise ValueError(f"no sample fits a thread cap of {pct}%: posts must come from at least {-(-100 // pct)} threads")
@@ -82,26 +83,94 @@ def topup(posts: DataFrame, taken: DataFrame, wanted: DataFrame) -> DataFrame:
     return forum.join(wanted.select("post_id"), "post_id", "left_semi").join(taken.select("post_id"), "post_id", "left_anti")
 
 
-def detail_selection(pool: DataFrame, budget: int = t.DETAIL_BUDGET, per_person: int = t.DETAIL_PER_PERSON) -> DataFrame:
-    """Purposive selection (post_id, reason): all posts of a small pool, else opening posts, top scores, flagged ones.
+def detail_selection(pool: DataFrame, budget: int = t.DETAIL_BUDGET, per_person: int = t.DETAIL_PER_PERSON, clusters: DataFrame | None = None) -> DataFrame:
+    """Purposive selection (post_id, person, reasons in the order they came): all posts of a small pool, else opening posts, top scores,
+    flagged ones, and then the nearest of each cluster.
 
-    ``pool`` has ord, post_id, person, kind, score, flags. Steps after the first only need a person's first
-    ``per_person`` rows and the step's first ``quota`` rows, so each is a ranked filter and a limit.
+    ``pool`` has ord, post_id, person, kind, score, flags; ``clusters`` (post_id, cluster, place: from the nearest on) is optional. Each step goes
+    through its posts in order until its quota or the budget is used up. A post that is selected already gets the step's reason
+    besides, if the step came to it; others count against the quota, and comments against their person's cap. What a step takes
+    are ranked rows and a limit, so nothing is gathered but what is selected.
     """
     if pool.limit(budget + 1).count() <= budget:
-        return pool.select("post_id", F.lit("all").alias("reason"))
-    picked = pool.filter("kind = 'post'").select("post_id", "person", F.lit("post").alias("reason"))
-    for share, score_order, reason, only in (
-        (0.2, [F.desc(F.coalesce("score", F.lit(0))), "ord"], F.lit("top_score"), F.lit(True)),
-        (0.4, [F.desc(F.size("flags")), F.desc(F.coalesce("score", F.lit(0))), "ord"], F.concat(F.lit("flag:"), F.array_join(F.array_sort("flags"), ",")), F.size("flags") > 0),
-    ):
-        room = budget - picked.select("post_id").distinct().count()
+        return pool.select("post_id", "person", F.array(F.lit("all")).alias("reasons"))
+    picked = pool.filter("kind = 'post'").select("post_id", "person", F.lit(0).alias("step"), F.lit("post").alias("reason"))
+    picked = written(picked, "detail-picked")
+    score = F.desc(F.coalesce("score", F.lit(0)))
+    flagged = F.concat(F.lit("flag:"), F.array_join(F.array_sort("flags"), ","))
+    steps = [
+        (pool, int(budget * 0.2), [score, F.asc("ord")], F.lit("top_score")),
+        (pool.filter(F.size("flags") > 0), int(budget * 0.4), [F.desc(F.size("flags")), score, F.asc("ord")], flagged),
+    ]
+    if clusters is not None:
+        total = pool.count()
+        sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "cluster").collect()  # at most twelve
+        for c, n in sizes:
+            of = pool.join(clusters.filter(F.col("cluster") == c).select("post_id", "place"), "post_id")
+            steps.append((of, lambda left, n=n: max(1, round(left * n / total)), [F.asc("place"), F.asc("ord")], F.lit(f"cluster:C{c + 1:02d}")))
+    left = None
+    for number, (rows, quota, order, reason) in enumerate(steps, 1):
+        taken = picked.select("post_id").distinct()
+        room = budget - taken.count()
+        if callable(quota):  # shares are of what the steps before the clusters left
+            left = room if left is None else left
+            quota = quota(left)
         if room <= 0:
             break
-        held = picked.groupBy("person").agg(F.count(F.lit(1)).alias("_held"))
-        rest = pool.filter(only & (F.col("kind") != "post")).join(picked.select("post_id"), "post_id", "left_anti").join(held, "person", "left")
-        rank = F.row_number().over(Window.partitionBy("person").orderBy(*score_order))
-        free = rest.withColumn("_rank", rank).filter(F.col("_rank") <= per_person - F.coalesce("_held", F.lit(0)))
-        chosen = free.orderBy(*score_order).limit(min(int(budget * share), room)).select("post_id", "person", reason.alias("reason"))
-        picked = picked.unionByName(chosen)
-    return picked.select("post_id", "reason")
+        held = picked.select("post_id", "person").distinct().groupBy("person").agg(F.count(F.lit(1)).alias("_held"))
+        marked = rows.join(taken.withColumn("_in", F.lit(True)), "post_id", "left").join(held, "person", "left")
+        free = marked.filter("_in IS NULL")
+        rank = F.row_number().over(Window.partitionBy("person").orderBy(*order))
+        open_ = free.withColumn("_rank", rank).filter((F.col("kind") == "post") | (F.col("_rank") <= per_person - F.coalesce("_held", F.lit(0))))
+        most = min(quota, room)
+        new = open_.orderBy(*order).limit(most).withColumn("_place", F.row_number().over(Window.orderBy(*order)))
+        new = written(new.select("post_id", "person", "_place", *[c for c in rows.columns if c not in ("post_id", "person")]), "detail-step")
+        more = new.select("post_id", "person", F.lit(number).alias("step"), reason.alias("reason"))
+        seen = marked.filter("_in")
+        if new.count() == most:  # the step ended at its last new post
+            keys = {f"_k{k}": c for k, c in enumerate(_plain(order))}
+            last = new.filter(F.col("_place") == most).select(F.struct(*[c.alias(k) for k, c in keys.items()]).alias("_last"))
+            seen = seen.join(F.broadcast(last)).filter(F.struct(*[c.alias(k) for k, c in keys.items()]) < F.col("_last"))
+        again = seen.select("post_id", "person", F.lit(number).alias("step"), reason.alias("reason"))
+        picked = written(picked.unionByName(more).unionByName(again), "detail-picked")
+    reasons = F.transform(F.array_sort(F.collect_list(F.struct("step", "reason"))), lambda r: r["reason"])
+    return picked.groupBy("post_id", "person").agg(reasons.alias("reasons"))
+
+
+def _plain(order: list) -> list:
+    """Sort keys of the detail steps as values that ascend."""
+    score = -F.coalesce(F.col("score"), F.lit(0))
+    if len(order) == 3:
+        return [-F.size("flags"), score, F.col("ord")]
+    return [F.col("place"), F.col("ord")] if "place" in str(order[0]) else [score, F.col("ord")]
+
+
+def with_interviews(selected: DataFrame, turns: DataFrame, topups: DataFrame | None = None) -> DataFrame:
+    """The selection with all participants' turns of interviews and, unless they are in it, posts that were asked for (post_id, person, reason)."""
+    out = selected.unionByName(turns.filter("source_type = 'interview' AND role = 'participant'").select("post_id", "person", F.array(F.lit("interview")).alias("reasons")))
+    if topups is not None:
+        rest = topups.join(selected.select("post_id"), "post_id", "left_anti")
+        out = out.unionByName(rest.select("post_id", "person", F.array(F.concat(F.lit("topup: "), "reason")).alias("reasons")))
+    return out
+
+
+def selection_summary(selected: DataFrame, per_person: int = t.DETAIL_PER_PERSON) -> DataFrame:
+    """(what, n): selected posts by their first reason, and people at the cap."""
+    first = F.split(F.col("reasons")[0], ":")[0]
+    by = selected.groupBy(F.concat(F.lit("first:"), first).alias("what")).agg(F.count(F.lit(1)).alias("n"))
+    people = selected.groupBy("person").agg(F.count(F.lit(1)).alias("m")).agg(F.lit("people_at_cap").alias("what"), F.count_if(F.col("m") >= per_person).alias("n"))
+    return by.unionByName(people)
+
+
+def ids_hash(ids: DataFrame, column: str = "post_id") -> str:
+    """Digest of a sample's ids, in order; a sample is bounded by its size."""
+    joined = F.array_join(F.array_sort(F.collect_list(F.col(column).cast("string"))), "\n")
+    return ids.agg(F.sha2(joined, 256)).first()[0]
+
+
+def content_hash(rows: DataFrame) -> DataFrame:
+    """(n, digest) of a table of any size, whatever the order of its rows: sums of two halves of the rows' digests."""
+    row = F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in sorted(rows.columns)])), 256)
+    part = lambda k: F.sum(F.conv(F.substring("_h", 1 + 15 * k, 15), 16, 10).cast("decimal(38,0)"))
+    out = rows.select(row.alias("_h")).agg(F.count(F.lit(1)).alias("n"), part(0).alias("_a"), part(1).alias("_b"))
+    return out.select("n", F.sha2(F.concat_ws(":", "n", "_a", "_b"), 256).alias("digest"))

@@ -320,3 +320,122 @@ def heard_range(tags: DataFrame, orders: int, seed: int) -> DataFrame:
 def heard_enough(tags: DataFrame, orders: int, seed: int) -> DataFrame:
     """(place, mean) of ``heard_range``."""
     return heard_range(tags, orders, seed).select("place", F.round("mean", 6).alias("mean"))
+
+
+# --- Whole sections ------------------------------------------------------------------------------------------------------
+
+
+def headline_mean(records: DataFrame) -> DataFrame:
+    """The mean overall score, null where only counts may be shown."""
+    out = records.agg(F.avg("overall").alias("_m"), F.count(F.lit(1)).alias("n_items"), F.count_distinct("person").alias("n_people"))
+    status = t.result_status(F.col("n_people"), F.col("n_items"))
+    return out.withColumn("status", status).select("n_items", "n_people", "status", F.when(F.col("status") != "counts-only", F.round("_m", 2)).alias("mean"))
+
+
+def most_common(records: DataFrame, most: int) -> DataFrame:
+    """(aspect, n, rank): the aspects most mentioned, ties by first mention."""
+    return top_aspects(records, F.lit("all"), most).drop("grp")
+
+
+def event(records: DataFrame, day: str, draws: int, seed: int, top: int = t.TOP_SHIFTS) -> DataFrame:
+    """Before and after midnight of a day: negative share, share in favour (if both sides have positions), and the aspects that rose or fell most.
+
+    Each row is a measure with ``kind`` and, for aspects, ``rank``. Bases of aspects are counted once, not once an aspect.
+    """
+    side = F.when(F.col("time").isNull(), None).when(F.col("time") < F.lit(day).cast("timestamp_ntz"), "before").otherwise("after")
+    told = records.withColumn("_at", side).filter("_at IS NOT NULL")
+    parts = [compare(told, F.col("overall") < 0, F.col("_at"), draws, seed).withColumn("kind", F.lit("measure"))]
+    voiced = told.filter("stance IS NOT NULL")
+    if voiced.select("_at").distinct().count() == 2:
+        parts.append(compare(voiced, F.col("stance") > 0, F.col("_at"), draws, seed, "in_favour").withColumn("kind", F.lit("measure")))
+    shifts = aspect_shifts(told, draws, seed).filter(F.col("verdict").isin("rose", "fell"))
+    rank = F.row_number().over(Window.orderBy(F.desc(F.abs("diff_pts")), "measure"))
+    parts.append(shifts.withColumn("rank", rank).filter(F.col("rank") <= top).withColumn("kind", F.lit("aspect")))
+    return union([p if "rank" in p.columns else p.withColumn("rank", F.lit(None).cast("int")) for p in parts])
+
+
+def aspect_shifts(told: DataFrame, draws: int, seed: int) -> DataFrame:
+    """``compare`` of mentioning each aspect, from sums by person and side: records are not crossed with aspects."""
+    base = told.groupBy("person", "_at").agg(F.count(F.lit(1)).alias("den"))
+    said = told.select("person", "_at", F.explode(F.array_distinct(F.transform(F.map_keys("aspects"), lambda a: F.lower(F.trim(a))))).alias("measure"))
+    num = said.groupBy("measure", "person", "_at").agg(F.count(F.lit(1)).alias("num"))
+    weights = boot_weights(told.select(F.col("person").alias("cluster")), draws, seed)
+    of_draw = base.join(weights, base["person"] == weights["cluster"]).groupBy("draw", "_at").agg(F.sum(F.col("w") * F.col("den")).alias("base"))
+    top = num.join(weights, num["person"] == weights["cluster"]).groupBy("measure", "draw", "_at").agg(F.sum(F.col("w") * F.col("num")).alias("top"))
+    names = num.select("measure").distinct()
+    every = names.join(F.broadcast(of_draw))  # draws x 2 rows for each aspect
+    rate = every.join(top, ["measure", "draw", "_at"], "left").withColumn("rate", t.pct(F.coalesce("top", F.lit(0)), F.col("base")))
+    of = lambda s: F.max(F.when(F.col("_at") == s, F.col("rate")))
+    lo, hi = interval(F.col("d"))
+    spread = rate.groupBy("measure", "draw").agg((of("after") - of("before")).alias("d")).groupBy("measure").agg(lo.alias("lo"), hi.alias("hi"))
+    total = lambda c, s: F.coalesce(F.sum(F.when(F.col("_at") == s, F.col(c))), F.lit(0))
+    k = num.groupBy("measure").agg(*[total("num", s).alias(f"k_{s}") for s in ("before", "after")])
+    n = base.agg(*[total("den", s).alias(f"n_{s}") for s in ("before", "after")], F.count_distinct("person").alias("n_people"))
+    out = k.join(F.broadcast(n)).join(spread, "measure", "left")
+    return with_verdict(out).select("measure", "k_before", "k_after", "n_before", "n_after", "n_people", "lo", "hi", "diff_pts", "verdict")
+
+
+def with_verdict(out: DataFrame, words: tuple[str, str] = ("rose", "fell")) -> DataFrame:
+    """``diff_pts`` and ``verdict`` from counts and the range of the difference."""
+    enough = (F.col("n_before") >= t.MIN_PER_SIDE) & (F.col("n_after") >= t.MIN_PER_SIDE) & F.col("lo").isNotNull()
+    few = F.col("n_people") < t.MIN_PEOPLE_FOR_RANGES
+    diff = F.when(~few, t.pct(F.col("k_after"), F.col("n_after")) - t.pct(F.col("k_before"), F.col("n_before")))
+    verdict = F.when(few | ~enough, "insufficient data").when(F.col("lo") > 0, words[0]).when(F.col("hi") < 0, words[1]).otherwise("no clear change")
+    return out.withColumn("diff_pts", diff).withColumn("verdict", verdict)
+
+
+def direction(records: DataFrame, draws: int, seed: int) -> DataFrame:
+    """One row: the span, the unit it asks for, the usable periods, and the first against the last of them.
+
+    status: 'no timestamps', 'single window' (two weeks or less) or 'ok'; the trend is null with fewer than two usable periods.
+    """
+    timed = records.filter("time IS NOT NULL")
+    span, unit = period_unit(timed).first()
+    shape = "status string, span_days bigint, unit string, first string, last string, usable int, k_before bigint, k_after bigint, n_before bigint, n_after bigint, lo double, hi double, diff_pts double, verdict string"
+    one = lambda status, usable=0: records.sparkSession.createDataFrame([(status, span, unit, None, None, usable, *[None] * 8)], shape)
+    if span is None:
+        return one("no timestamps")
+    if unit is None:
+        return one("single window")
+    key = x.period_key(F.col("time"), unit)
+    good = by_period(records, unit).filter("usable").agg(F.min("period").alias("first"), F.max("period").alias("last"), F.count(F.lit(1)).cast("int").alias("usable")).first()
+    if good[2] < 2:
+        return one("ok", good[2])
+    side = F.when(key == good[0], "before").when(key == good[1], "after")
+    found = with_verdict(compare(timed, F.col("overall") < 0, side, draws, seed).drop("verdict", "diff_pts"), ("worsening", "improving"))
+    facts = [F.lit("ok").alias("status"), F.lit(span).cast("bigint").alias("span_days"), F.lit(unit).alias("unit"), F.lit(good[0]).alias("first"), F.lit(good[1]).alias("last"), F.lit(good[2]).alias("usable")]
+    return found.select(*facts, "k_before", "k_after", "n_before", "n_after", "lo", "hi", "diff_pts", "verdict")
+
+
+def period_aspects(records: DataFrame, unit: str, most: int = t.TOP_PERIOD) -> DataFrame:
+    """(period, aspect, n, rank): the aspects most mentioned in each period."""
+    timed = records.filter("time IS NOT NULL")
+    return top_aspects(timed, x.period_key(F.col("time"), unit), most).withColumnRenamed("grp", "period")
+
+
+def loo_summary(removals: DataFrame, records: DataFrame) -> DataFrame:
+    """One row over ``leave_one_out``: how many removals have a percentage, their least and greatest, and the one that moves the share most.
+
+    Of equal moves the first counts: sources, then search terms, then threads, each in order.
+    """
+    base = shares(measure(records, "negative", F.col("overall") < 0)).select(F.col("pct").alias("base"))
+    rank = F.when(F.col("kind") == "source", 0).when(F.col("kind") == "search_term", 1).otherwise(2)
+    moved = removals.filter("pct IS NOT NULL").join(F.broadcast(base)).withColumn("by", F.round(F.round("pct", 1) - F.round("base", 1), 1))
+    first = F.min(F.struct((-F.abs("by")).alias("m"), rank.alias("r"), "removed", "kind", "by"))
+    out = moved.agg(F.count(F.lit(1)).alias("removals_with_pct"), F.min("pct").alias("min_pct"), F.max("pct").alias("max_pct"), first.alias("f"))
+    return out.select("removals_with_pct", "min_pct", "max_pct", "f.kind", "f.removed", F.col("f.by").alias("change_pts"))
+
+
+def wilson(k: Column, n: Column, z: float = 1.96) -> tuple[Column, Column]:
+    """The earlier method's interval of a share, in percent."""
+    p, zz = k / n, z * z
+    middle, spread = p + zz / (2 * n), z * F.sqrt(p * (1 - p) / n + zz / (4 * n * n))
+    return 100 * F.greatest(F.lit(0.0), (middle - spread) / (1 + zz / n)), 100 * F.least(F.lit(1.0), (middle + spread) / (1 + zz / n))
+
+
+def newcombe(k1: Column, n1: Column, k2: Column, n2: Column, z: float = 1.96) -> tuple[Column, Column]:
+    """The earlier method's interval of a difference of two shares, second less first, in points."""
+    (l1, u1), (l2, u2) = wilson(k1, n1, z), wilson(k2, n2, z)
+    p1, p2 = 100 * k1 / n1, 100 * k2 / n2
+    square = lambda c: c * c
+    return p2 - p1 - F.sqrt(square(p2 - l2) + square(u1 - p1)), p2 - p1 + F.sqrt(square(u2 - p2) + square(p1 - l1))

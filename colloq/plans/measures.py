@@ -109,16 +109,12 @@ rest AS (SELECT c.kind, c.removed, r.person, r.overall FROM chosen c JOIN record
   CASE c.kind WHEN 'source' THEN r.source WHEN 'thread' THEN r.thread ELSE r.search_term END IS DISTINCT FROM c.removed),
 o AS (SELECT kind, removed, count(*) FILTER (overall < 0) AS k, count(*) AS n, count(DISTINCT person) AS n_people, count(*) AS n_items FROM rest GROUP BY ALL)"""
 
-_TOPICS = "SELECT post_id, CASE WHEN event_id % 5 = 0 THEN NULL ELSE 't' || CAST(event_id % 17 AS VARCHAR(20)) END AS topic FROM events WHERE event_id < 120"
-
-
-def _tags(spark, sf, where: str = "TRUE"):
-    return v.select(spark, sf, {"post_id": v.POSTS["post_id"], "topic": "CASE WHEN event_id % 5 = 0 THEN NULL ELSE 't' || CAST(event_id % 17 AS VARCHAR(20)) END"}, "events", where)
+def _tags(spark, sf):
+    return v.select(spark, sf, {"post_id": v.POSTS["post_id"], "topic": "CASE WHEN event_id % 5 = 0 THEN NULL ELSE 't' || CAST(event_id % 17 AS VARCHAR(20)) END"}, "events")
 
 
 def _heard(spark, sf):
-    """The part of the events that its SQL takes; ``saturation_range`` takes all."""
-    return stats.heard_enough(_tags(spark, sf, "event_id < 120"), 40, SEED)
+    return stats.heard_enough(_tags(spark, sf), 40, SEED)
 
 
 def _heard_range(spark, sf):
@@ -206,7 +202,7 @@ SELECT post_id, round((e::DOUBLE / least(e, 5)) * (a::DOUBLE / d), 9) AS weight
 w AS (SELECT drawn.person, r.overall, (e::DOUBLE / least(e, 5)) * (a::DOUBLE / d) AS w FROM drawn JOIN e USING (person) JOIN a USING (thread) JOIN d USING (thread) JOIN records r USING (post_id)),
 o AS (SELECT count(DISTINCT person) AS n_people, count(*) AS n_items, sum(w) AS t, sum(CASE WHEN overall < 0 THEN w ELSE 0 END) AS neg FROM w)
 SELECT n_people, n_items, {v.STATUS} AS status, CASE WHEN n_people >= 20 THEN round(100 * neg / t, 6) END AS pct FROM o""",
-    "saturation_curve": f"""WITH tags AS (SELECT 'E' || CAST(event_id AS VARCHAR(20)) AS post_id, CASE WHEN event_id % 5 = 0 THEN NULL ELSE 't' || CAST(event_id % 17 AS VARCHAR(20)) END AS topic FROM events WHERE event_id < 120),
+    "saturation_curve": f"""WITH tags AS (SELECT 'E' || CAST(event_id AS VARCHAR(20)) AS post_id, CASE WHEN event_id % 5 = 0 THEN NULL ELSE 't' || CAST(event_id % 17 AS VARCHAR(20)) END AS topic FROM events),
 pl AS (SELECT post_id, run, row_number() OVER (PARTITION BY run ORDER BY sha256('{SEED}:' || run || ':' || post_id), post_id) AS place FROM (SELECT DISTINCT post_id FROM tags), range(40) AS r(run)),
 f AS (SELECT run, topic, min(place) AS place FROM tags JOIN pl USING (post_id) WHERE topic IS NOT NULL GROUP BY ALL),
 nw AS (SELECT place, count(*) / 40.0::DOUBLE AS new FROM f GROUP BY place)

@@ -109,12 +109,12 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def notes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return select(spark, sf_dir, NOTES, "events", "event_id % 3 <> 2").withColumn("tags", F.array("topic", "second"))
+    return select(spark, sf_dir, NOTES, "events").withColumn("tags", F.array("topic", "second"))
 
 
 R = cte("records", RECORDS, "events")
 P = cte("posts", POSTS, "events")
-N = cte("notes", NOTES, "events", "event_id % 3 <> 2")
+N = cte("notes", NOTES, "events")
 A = f"aspect_rows AS ({ASPECT_SQL})"
 #: The status rule and a percentage, as SQL.
 STATUS = "CASE WHEN n_people < 20 THEN 'counts-only' WHEN n_items < 60 THEN 'early-signal' ELSE 'full' END"
