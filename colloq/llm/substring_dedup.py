@@ -2,18 +2,20 @@
 
 A window is ``WINDOW`` consecutive words. Its gram is the least hash of the runs of ``GRAM`` words inside it;
 consecutive windows with the same gram form a stretch. Documents that share a window share its gram, so the
-index holds one fingerprint a stretch (gram, check of all words of the stretch, doc_id) instead of one a window,
+index holds one fingerprint a stretch (gram, digest of the words of the stretch, doc_id) instead of one a window,
 about a fifth, and misses nothing.
 
 Each batch becomes a sorted immutable run, bucketed by gram; that is its only shuffle of fingerprints. The run is
 merge-joined with the older runs, bucket by bucket. A stretch that also lies in an earlier document is removed as a
 whole. Where one gram has different stretches (at the ends of passages and around edits), the windows of the first
-document of each stretch are hashed in full (128 bits) and compared one by one; this verifies what the
-fingerprints cannot decide. When there are more than ``MOST_RUNS`` runs they are merged into one.
+document of each stretch are compared one by one. When there are more than ``MOST_RUNS`` runs they are merged into one.
 
-Hot grams: what repeats inside a task's batch of documents is decided there, and only its first document goes on. A
-gram with ``HOT`` or more stretches in one batch is dealt over ``SALTS`` buckets and its stretches always compared
-window by window; a mark in the gram's plain bucket makes batches where it is rare do the same.
+Verification: grams only bring stretches together. Words go because BLAKE2b digests of the words themselves are equal, 64 bits for a
+stretch (besides its gram) and 128 for a window, whatever the rolling hashes of the grams do.
+
+Hot grams: what repeats inside a task's batch of documents is decided there, and only its first document goes on; that holds for
+stretches and for single windows. A gram with ``HOT`` or more stretches in one batch is dealt over ``SALTS`` buckets and
+its stretches always compared window by window; a mark in the gram's plain bucket makes batches where it is rare do the same.
 
 Batches come in ascending doc_id, so what a run holds is smaller than what comes later.
 
@@ -25,20 +27,23 @@ are not read. A text of fewer words than a window loses nothing.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import partial
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import drop_folder, dropped, load, new_path, release, written
+from .common import drop_folder, dropped, files_of, load, new_path, tidy, written
 
 WINDOW = 13
 GRAM = 6
-MOST_RUNS = 4
+MOST_RUNS = 2
+BATCHES = 4
 HOT = 64
 SALTS = 32
 M = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
@@ -88,9 +93,12 @@ class Chunk:
     """Some texts, their words numbered through: hashes are computed for all of them at once."""
 
     def __init__(self, texts: list[bytes]):
-        raw = np.frombuffer(b"\n".join(texts) + b"\n", "u1")
+        texts = [b" ".join(t.split()) for t in texts]
+        self.line = b"\n".join(texts) + b"\n"
+        raw = np.frombuffer(self.line, "u1")
         edge = np.diff((~SPACE[raw]).astype("i1"), prepend=np.int8(0))
         starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        self.starts, self.ends = starts, ends
         at = np.cumsum([0, *(len(t) + 1 for t in texts)])
         self.base = np.searchsorted(starts, at)  # first word of each text, and the end
         self.n = len(starts)
@@ -107,7 +115,7 @@ class Chunk:
         self.text_of = np.repeat(np.arange(len(texts)), np.diff(self.base))
 
     def stretches(self) -> tuple[np.ndarray, ...]:
-        """Text, first and last window (as numbers of their first words), gram and check (48 bits each) of each stretch."""
+        """Text, first and last window (as numbers of their first words), gram (48 bits) and digest (64 bits) of each stretch."""
         if self.n < WINDOW:
             none = np.zeros(0, "int64")
             return none, none, none, none.astype("<u8"), none.astype("<u8")
@@ -126,14 +134,18 @@ class Chunk:
         first = np.flatnonzero(np.concatenate([[True], (least[1:] != least[:-1]) | (text[1:] != text[:-1])]))
         last = np.concatenate([first[1:], [len(whole)]]) - 1
         a, b = whole[first], whole[last]
-        check = _mix(_spans(self.sums, a, b + WINDOW) + (b - a).astype("<u8"))
-        return text[first], a, b, least[first] & MASK48, check & MASK48
+        check = np.frombuffer(self._digests(a, b + WINDOW - 1, 8), "<u8")
+        return text[first], a, b, least[first] & MASK48, check
+
+    def _digests(self, first: np.ndarray, last: np.ndarray, size: int) -> bytes:
+        """Digests of the words from ``first`` to ``last``, joined by single spaces."""
+        line = self.line
+        return b"".join([blake2b(line[s:e], digest_size=size).digest() for s, e in zip(self.starts[first].tolist(), self.ends[last].tolist(), strict=True)])
 
     def windows(self, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """128 bits for each window."""
-        if not hasattr(self, "second"):
-            self.second = _running(_mix(self.hashes, M))
-        return _mix(_spans(self.sums, starts, starts + WINDOW)), _mix(_spans(self.second, starts, starts + WINDOW), 1)
+        both = np.frombuffer(self._digests(starts, starts + WINDOW - 1, 16), "<u8").reshape(-1, 2)
+        return both[:, 0], both[:, 1]
 
 
 @contextmanager
@@ -225,10 +237,11 @@ STATE = f"{RESULT}, row bigint, text binary, gone binary, starts array<int>, w1
 def _apply(batches: Iterator[pa.RecordBatch], texts: bool) -> Iterator[pa.RecordBatch]:
     """Remove whole stretches; documents with open ones keep their text and list their windows.
 
-    ``met`` names a stretch by its number and check, as rows may share a doc_id and not the text.
+    ``met`` names a stretch by its number and digest, as rows may share a doc_id and not the text. A window that a smaller doc_id
+    of the batch has, too, goes at once; only its first document lists it.
     """
     for batch in batches:
-        rows, all_texts = [], _texts(batch.column(1))
+        rows, open_, all_texts = [], [], _texts(batch.column(1))
         ids, hashes, met = batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist()
         for a, b in _chunks(all_texts):
             told = [k for k in range(a, b) if met[k]]
@@ -254,16 +267,35 @@ def _apply(batches: Iterator[pa.RecordBatch], texts: bool) -> Iterator[pa.Record
                 n = sha = None
                 if still:
                     starts = np.concatenate([np.arange(first[x], last[x] + 1) for x in still])
-                    w1, w2 = chunk.windows(starts)
-                    row |= {"row": hashes[k], "text": all_texts[k], "gone": np.packbits(gone).tobytes(), "starts": (starts - base).astype("int32")}
-                    row |= {"w1": w1.view("<i8"), "w2": w2.view("<i8")}
+                    open_.append((len(rows), ids[k], gone, starts - base, *chunk.windows(starts)))
+                    row |= {"row": hashes[k], "text": all_texts[k]}
                 else:
                     n, line, sha = _digest(words, gone)
                     row["kept"] = line if texts else None
                 rows.append(row | {"doc_id": ids[k], "n_words": len(words), "n_removed": n, "kept_sha256": sha})
+        for (at, _, gone, starts, w1, w2), here in zip(open_, _decided(open_), strict=True):
+            edge = np.zeros(len(gone) + 1, "int32")
+            np.add.at(edge, starts[here], 1)
+            np.add.at(edge, starts[here] + WINDOW, -1)
+            gone = gone | (np.cumsum(edge[:-1]) > 0)
+            rows[at] |= {"gone": np.packbits(gone).tobytes(), "starts": starts[~here].astype("int32"), "w1": w1[~here].view("<i8"), "w2": w2[~here].view("<i8")}
         yield pa.RecordBatch.from_pylist(rows, _STATE)
 
 
+def _decided(open_: list[tuple]) -> list[np.ndarray]:
+    """For each document of a batch, which of its windows a smaller doc_id of the batch has."""
+    if not open_:
+        return []
+    sizes = [len(x[3]) for x in open_]
+    w1, w2 = (np.concatenate([x[k] for x in open_]) for k in (4, 5))
+    doc = np.repeat(np.array([x[1] for x in open_], "int64"), sizes)
+    order = np.lexsort((doc, w2, w1))
+    new = np.concatenate([[True], (w1[order][1:] != w1[order][:-1]) | (w2[order][1:] != w2[order][:-1])])
+    out = np.empty(len(doc), bool)
+    out[order] = doc[order] > doc[order][np.flatnonzero(new)][np.cumsum(new) - 1]
+    return np.split(out, np.cumsum(sizes)[:-1])
+
+
 _STATE = pa.schema(
     [("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("row", pa.int64()), ("text", pa.binary()), ("gone", pa.binary()),
      ("starts", pa.list_(pa.int32())), ("w1", pa.list_(pa.int64())), ("w2", pa.list_(pa.int64())), ("kept", pa.binary())]
@@ -313,30 +345,56 @@ def _source_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 class FingerprintIndex:
-    """Sorted immutable runs of stretches (``ROW``), each a table bucketed by (gram, salt).
+    """Sorted immutable runs of stretches (``ROW``), each a table bucketed by (gram, salt), and the texts that were delivered.
 
-    There are as many buckets as shuffle partitions, 64 at least: one file a bucket, and buckets grow with the cluster.
+    ``path`` names the index; opening an existing path continues it, with its own buckets. A new index has as many buckets as shuffle
+    partitions, 64 at least: one file a bucket, and buckets grow with the cluster. A run counts once it is wholly written, so a
+    job that is lost leaves an index that can be opened again; to deliver the same documents again changes nothing.
     """
 
-    def __init__(self, spark: SparkSession, buckets: int | None = None):
-        self.spark, self.runs, self.paths = spark, [], {}
+    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int | None = None):
+        self.spark, self.path = spark, path or new_path(spark, "fingerprint-index")
+        self.runs, self.paths = [], {}
         self.delivered: list[DataFrame] = []  # (doc_id, text) of the calls before
         self.buckets = buckets or max(64, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
-
-    def _write(self, df: DataFrame) -> str:
-        path = new_path(self.spark, "fingerprint-run")
-        name = "fingerprint_run_" + path[-12:]
+        for folder in files_of(spark, f"{self.path}/*/_SUCCESS"):
+            at = folder.rsplit("/", 1)[0]
+            if "/texts-" in at:
+                self.delivered.append(spark.read.schema("doc_id bigint, text binary").parquet(at))
+            else:
+                self.buckets = int(at.rsplit("-", 1)[1])
+                self.runs.append(self._table(at))
+
+    def _table(self, path: str) -> str:
+        name = "fingerprint_run_" + uuid.uuid4().hex[:12]
         self.spark.sql(
             f"CREATE TABLE {name} ({ROW}) USING parquet CLUSTERED BY (gram, salt) SORTED BY (gram, salt, chk, doc_id) "
             f"INTO {self.buckets} BUCKETS LOCATION '{path}'"
         )
+        self.paths[name] = path
+        return name
+
+    def _write(self, df: DataFrame) -> str:
+        path = f"{self.path}/run-{uuid.uuid4().hex[:12]}-{self.buckets}"
+        name = self._table(path)
         sorted_ = df.repartition(self.buckets, "gram", "salt").sortWithinPartitions("gram", "salt", "chk", "doc_id")
         writer = sorted_.write.mode("append").format("parquet").bucketBy(self.buckets, "gram", "salt")
-        writer.sortBy("gram", "salt", "chk", "doc_id").option("path", path).saveAsTable(name)
-        self.paths[name] = path
-        release(self.spark)
+        with tidy(self.spark):
+            writer.sortBy("gram", "salt", "chk", "doc_id").option("path", path).saveAsTable(name)
         return name
 
+    def deliver(self, texts: DataFrame) -> None:
+        path = f"{self.path}/texts-{uuid.uuid4().hex[:12]}"
+        texts.write.parquet(path)
+        self.delivered.append(self.spark.read.schema(texts.schema).parquet(path))
+
+    def close(self, delete: bool = False) -> None:
+        """Forget the tables' names in this session; with ``delete`` the files go, too."""
+        for run in self.runs:
+            self.spark.sql(f"DROP TABLE IF EXISTS {run}")
+        if delete:
+            drop_folder(self.spark, self.path)
+
     def ingest(self, stretches: DataFrame) -> tuple[DataFrame, DataFrame | None]:
         """Append a batch's stretches as a run.
 
@@ -381,7 +439,7 @@ def _ingest(batch: DataFrame, earlier: DataFrame | None, index: FingerprintIndex
     met, old = index.ingest(batch.filter("doc_id IS NOT NULL").mapInArrow(_stretch_rows, ROW))
     with co_partitioned(batch.sparkSession):
         met = written(met, "stretches-met")
-    replies = met.groupBy("doc_id").agg(F.collect_list(F.struct("nth", "chk", "whole")).alias("met"))
+    replies = met.groupBy("doc_id").agg(F.collect_set(F.struct("nth", "chk", "whole")).alias("met"))
     told = batch.join(replies, "doc_id", "left").select("doc_id", "text", F.xxhash64("text").alias("row"), "met")
     state = written(told.mapInArrow(partial(_apply, texts=texts), STATE), "substring-state")
     open_ = state.filter("text IS NOT NULL")
@@ -404,10 +462,10 @@ def _ingest(batch: DataFrame, earlier: DataFrame | None, index: FingerprintIndex
     return out
 
 
-def substring_dedup(docs: DataFrame, batches: int = 2, texts: bool = False, index: FingerprintIndex | None = None) -> DataFrame:
+def substring_dedup(docs: DataFrame, batches: int = BATCHES, texts: bool = False, index: FingerprintIndex | None = None) -> DataFrame:
     """One row a document: doc_id, n_words, n_removed, kept_sha256, and with ``texts`` the kept words.
 
-    The documents are ingested in ``batches`` ascending ranges of doc_id, each against the runs of those before it.
+    The documents are ingested in ``batches`` ascending ranges of doc_id, cut at quantiles, each against the runs of those before it.
     An ``index`` that is passed holds the runs and the texts of the calls it was passed to before, and this call's after it; so
     deliveries give what one call over all their documents gives, if each has larger doc_ids than those before it.
     """
@@ -415,19 +473,24 @@ def substring_dedup(docs: DataFrame, batches: int = 2, texts: bool = False, inde
     slim = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     keep = index is not None
     index = index or FingerprintIndex(spark)
-    lo, hi = slim.agg(F.min("doc_id"), F.max("doc_id")).first()
-    edges = [lo + (hi + 1 - lo) * k // batches for k in range(batches + 1)] if lo is not None else [0, 0]
+    cuts = [k / batches for k in range(1, batches)]
+    found = slim.agg(F.percentile_approx("doc_id", cuts)).first()[0] if cuts else None
+    edges = [None, *sorted(set(found or [])), None]
     parts = []
-    for k in range(len(edges) - 1):
-        batch = slim.filter((F.col("doc_id") >= edges[k]) & (F.col("doc_id") < edges[k + 1]) | (F.col("doc_id").isNull() if k == 0 else F.lit(False)))
-        earlier = slim.filter(F.col("doc_id") < edges[k]) if k else None
+    for lo, hi in zip(edges, edges[1:], strict=False):
+        above = F.lit(True) if lo is None else F.col("doc_id") > lo
+        below = F.lit(True) if hi is None else F.col("doc_id") <= hi
+        batch = slim.filter(above & below | (F.col("doc_id").isNull() if lo is None else F.lit(False)))
+        earlier = None if lo is None else slim.filter(F.col("doc_id") <= lo)
         for texts_before in index.delivered:
             earlier = texts_before if earlier is None else earlier.unionByName(texts_before)
         parts.append(_ingest(batch, earlier, index, texts))
         if len(index.runs) > MOST_RUNS:
             index.compact()
     if keep:
-        index.delivered.append(written(slim.filter("doc_id IS NOT NULL"), "delivered-texts"))
+        index.deliver(slim.filter("doc_id IS NOT NULL"))
+    else:
+        index.close(delete=True)
     whole = parts[0]
     for more in parts[1:]:
         whole = whole.unionByName(more)
@@ -436,3 +499,16 @@ def substring_dedup(docs: DataFrame, batches: int = 2, texts: bool = False, inde
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(load(spark, sf_dir, "documents"))
+
+
+SQL = """
+WITH texts AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS ws FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS words FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM texts)),
+least AS (SELECT words, min(doc_id) AS doc_id FROM windows GROUP BY words),
+hits AS (SELECT w.doc_id, w.i FROM windows w JOIN least l USING (words) WHERE l.doc_id < w.doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS at FROM hits),
+each AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS at FROM texts),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY at) AS line, count(*) AS n FROM each ANTI JOIN gone USING (doc_id, at) GROUP BY doc_id)
+SELECT t.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(line, '')) AS kept_sha256
+FROM texts t LEFT JOIN kept USING (doc_id)
+"""
