@@ -1,14 +1,18 @@
 """Personal data replaced by surrogates.
 
 Entities are found by one regular expression of all kinds. Each gets a keyed surrogate of its own kind: digits for
-digits and letters for letters in the same format, card numbers that pass the Luhn test exactly if the original does,
-addresses in ranges and domains that nobody owns, names with the script of the original and the ending of
-its gender (from the title before it). The same entity has the same surrogate wherever it occurs and however it is
-written (case, separators), so references stay together.
+digits and letters for letters in the same format; card numbers pass the Luhn test and bank accounts the test of their check
+digits exactly if the original does; phones keep their country code; addresses lie in ranges and under a top-level domain that nobody owns,
+and what shares a mail domain shares its surrogate; names have the script of the original and the ending of their gender. The same
+entity has the same surrogate wherever it occurs and however it is written (case, separators), so references stay together.
+A given name is one entity whatever the title before it; its gender is that of all its gendered titles in the corpus, none if they differ.
 
 Distinctness is checked: over all distinct entities no two may share a surrogate and no surrogate may be an
-entity of the corpus; those that fail try again with a counter in the key until none fails. Each document with
-mentions then gets the map of its own entities to their surrogates. All of it is DataFrame operations.
+entity of the corpus; those that fail try again with a counter in the key, several tries a round, until none fails; after
+``WIDER`` tries their format gets longer, so a short one cannot run out. Each document with mentions then gets the map of
+its own entities to their surrogates. All of it is DataFrame operations.
+
+Persons are found behind a title only; a name without one stays as it is.
 
 Defined results: a null text stays null and has no entities; rows with a null doc_id and rows that repeat are treated
 like others (a row is known by doc_id and a hash of its text); an empty table gives no rows; with
@@ -20,11 +24,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import load, own, written
+from .common import attach, dropped, fits, load, own, written
 
-#: Maps of up to this many documents are sent to all tasks; more are shuffled.
-BROADCAST_ROWS = 50_000
-ROUNDS = 64
+ROUNDS, TRIES = 8, 8  # rounds, and tries of each clashing entity in a round
+WIDER = 32  # tries after which a short format gets longer
+ENTRY_BYTES = 160  # of an entity in a document's map
 
 FEMALE = "Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|Госпожа|госпожа|Κυρία|κυρία"
 MALE = "Mr|Herr|Monsieur|Señor|Господин|господин|Κύριος|κύριος"
@@ -71,7 +75,7 @@ def kind_sql(m: str) -> str:
 
 def norm_sql(kind: str, m: str) -> str:
     return (
-        f"(CASE WHEN {kind} IN ('phone', 'card', 'ssn') THEN regexp_replace({m}, '[^0-9]', '') "
+        f"(CASE WHEN {kind} = 'phone' THEN concat(IF({m} LIKE '+%', '+', ''), regexp_replace({m}, '[^0-9]', '')) WHEN {kind} IN ('card', 'ssn') THEN regexp_replace({m}, '[^0-9]', '') "
         f"WHEN {kind} = 'iban' THEN regexp_replace({m}, ' ', '') ELSE lower({m}) END)"
     )
 
@@ -105,26 +109,41 @@ def name_sql(token: str, role: str, h: str, n: str) -> str:
     cases = []
     for script, test in (("cyrillic", r"\\p{IsCyrillic}"), ("greek", r"\\p{IsGreek}"), ("latin", ".")):
         parts = f"split('{SYLLABLES[script]}', ',')"
-        body = f"array_join(transform(sequence(0, 2 + CAST({n} AS INT) DIV 4), i -> {parts}[{byte_sql(h, 'i')} % 16]), '')"
+        body = f"array_join(transform(sequence(0, 2 + CAST({n} AS INT) DIV 8), i -> {parts}[{byte_sql(h, 'i')} % 16]), '')"
         f, m, s = ENDINGS[script]
         cases.append(f"WHEN {token} RLIKE '{test}' THEN initcap(concat({body}, CASE {role} WHEN 'f' THEN '{f}' WHEN 'm' THEN '{m}' ELSE '{s}' END))")
     return f"(CASE {' '.join(cases)} END)"
 
 
+def _mod97(account: str) -> str:
+    """The remainder of an account's number (its first four characters moved to the end, letters as 10 to 35)."""
+    turned = f"concat(substr({account}, 5), substr({account}, 1, 4))"
+    value = "IF(c RLIKE '[0-9]', CAST(c AS INT), ascii(c) - 55)"
+    return f"aggregate(regexp_extract_all({turned}, '.', 0), 0, (a, c) -> (a * IF(c RLIKE '[0-9]', 10, 100) + {value}) % 97)"
+
+
 def surrogate_sql() -> str:
-    """Surrogate of a row (kind, norm, n, h): a normalised entity, or a word of a name (kind name_f, name_m, name_s or name_x)."""
-    labels = "split(split_part(norm, '@', 2), '[.]')"
-    below = f"array_join(slice({labels}, 1, greatest(size({labels}) - 2, 0)), '.')"
-    tld = f"IF(element_at({labels}, -1) IN ('com', 'net', 'org'), element_at({labels}, -1), 'com')"
+    """Surrogate of a row (kind, norm, role, n, h): a normalised entity, a mail domain, or a word of a name (kind name_g or name_s).
+
+    An email's is its local part's; its domain is an entity of its own. ``n`` tries that failed widen formats that are short.
+    """
+    more = "array_join(transform(sequence(1, n DIV 16), i -> chr(97 + " + byte_sql("reverse(h)", "i") + " % 26)), '')"
+    wider = f"IF(n >= {WIDER}, {more}, '')"
     payload = f"substr({_mapped('norm', 'h', '1')}, 1, length(norm) - 1)"
     passes = f"({_check_digit('substr(norm, 1, length(norm) - 1)')} = CAST(substr(norm, -1) AS INT))"
+    body = f"substr({_mapped('norm', 'h', '4')}, 5)"
+    blank = f"concat(substr(norm, 1, 2), '00', {body})"
+    check = f"((98 - {_mod97(blank)} + IF({_mod97('norm')} = 1, 0, 1 + {byte_sql('h', '31')} % 96) - 2) % 97 + 2)"
     return f"""(CASE
-        WHEN kind = 'email' THEN concat({_mapped("split_part(norm, '@', 1)", 'h')}, '@', IF(size({labels}) > 2, concat({_mapped(below, 'reverse(h)')}, '.'), ''), 'example.', {tld})
-        WHEN kind = 'ip' THEN concat_ws('.', 240 + {byte_sql('h', '0')} % 16, {byte_sql('h', '1')}, {byte_sql('h', '2')}, {byte_sql('h', '3')})
-        WHEN kind = 'ssn' THEN concat('9', substr({_mapped('norm', 'h')}, 2))
-        WHEN kind = 'card' THEN concat({payload}, CAST(({_check_digit(payload)} + IF({passes}, 0, 1 + {byte_sql('h', '31')} % 9)) % 10 AS STRING))
-        WHEN kind IN ('phone', 'iban', 'handle') THEN {_mapped('norm', 'h', "CASE kind WHEN 'iban' THEN 2 WHEN 'handle' THEN 0 ELSE IF(length(norm) > 10, 1, 0) END")}
-        ELSE {name_sql('norm', "substr(kind, 6, 1)", 'h', 'n')} END)"""
+        WHEN kind = 'email' THEN concat({_mapped("split_part(norm, '@', 1)", 'h')}, {wider})
+        WHEN kind = 'domain' THEN concat({_mapped("regexp_replace(norm, '[.][^.]*$', '')", 'h')}, {wider}, '.example')
+        WHEN kind = 'ip' THEN IF(n < {WIDER}, concat_ws('.', 240 + {byte_sql('h', '0')} % 16, {byte_sql('h', '1')}, {byte_sql('h', '2')}, {byte_sql('h', '3')}), concat_ws('.', '255', substr(h, 1, 8)))
+        WHEN kind = 'ssn' THEN concat('9', substr({_mapped('norm', 'h')}, 2), IF(n < {WIDER}, '', substr(regexp_replace(h, '[a-f]', ''), 1, n DIV 16)))
+        WHEN kind = 'card' THEN concat({payload}, CAST(({_check_digit(payload)} + IF({passes}, 0, 1 + {byte_sql('h', '31')} % 9)) % 10 AS STRING), IF(n < {WIDER}, '', substr(regexp_replace(h, '[a-f]', ''), 1, n DIV 16)))
+        WHEN kind = 'iban' THEN concat(substr(norm, 1, 2), lpad(CAST({check} AS STRING), 2, '0'), {body}, {wider})
+        WHEN kind = 'phone' THEN concat({_mapped('norm', 'h', "IF(norm LIKE '+%', 3, 0)")}, IF(n < {WIDER}, '', substr(regexp_replace(h, '[a-f]', ''), 1, n DIV 16)))
+        WHEN kind = 'handle' THEN concat({_mapped('norm', 'h')}, {wider})
+        ELSE {name_sql('norm', "IF(kind = 'name_s', 's', role)", 'h', 'n')} END)"""
 
 
 def with_surrogate(rows: DataFrame, key: str) -> DataFrame:
@@ -133,9 +152,10 @@ def with_surrogate(rows: DataFrame, key: str) -> DataFrame:
 
 
 def _filled(m: str, s: str) -> str:
-    """The characters of ``s`` in the format of the mention ``m``."""
-    return f"""array_join(transform(regexp_extract_all({m}, '(?s).', 0), (c, i) -> IF(c RLIKE '[A-Za-z0-9]',
-        substr({s}, length(regexp_replace(substr({m}, 1, i + 1), '[^A-Za-z0-9]', '')), 1), c)), '')"""
+    """The characters of ``s`` in the format of the mention ``m``; what the format has no place for follows."""
+    plain, size = f"regexp_replace({s}, '[+]', '')", f"length(regexp_replace({m}, '[^A-Za-z0-9]', ''))"
+    return f"""concat(array_join(transform(regexp_extract_all({m}, '(?s).', 0), (c, i) -> IF(c RLIKE '[A-Za-z0-9]',
+        substr({plain}, length(regexp_replace(substr({m}, 1, i + 1), '[^A-Za-z0-9]', '')), 1), c)), ''), substr({plain}, {size} + 1))"""
 
 
 def _role_sql(m: str) -> str:
@@ -143,21 +163,25 @@ def _role_sql(m: str) -> str:
 
 
 def entities_sql() -> str:
-    """The entities of a row (m, k: its kind) as an array of (kind, norm); of a name its given name, if it has two words, and its surname."""
+    """The entities of a row (m, k: its kind) as an array of (kind, norm, role); of a name its given name, if it has two words, and its
+    surname; of an email address itself and its domain."""
     words = "slice(split(m, ' '), 2, 2)"
-    given = f"named_struct('kind', concat('name_', {_role_sql('m')}), 'norm', lower({words}[0]))"
-    last = f"named_struct('kind', 'name_s', 'norm', lower(element_at({words}, -1)))"
+    one = lambda kind, norm, role="'x'": f"named_struct('kind', {kind}, 'norm', {norm}, 'role', {role})"
+    given, last = one("'name_g'", f"lower({words}[0])", _role_sql("m")), one("'name_s'", f"lower(element_at({words}, -1))")
+    plain = one("k", norm_sql("k", "m"))
     return f"""(CASE WHEN k = 'person' THEN IF(size({words}) > 1, array({given}, {last}), array({last}))
-        ELSE array(named_struct('kind', k, 'norm', {norm_sql('k', 'm')})) END)"""
+        WHEN k = 'email' THEN array({plain}, {one("'domain'", "lower(split_part(m, '@', 2))")}) ELSE array({plain}) END)"""
 
 
 def replaced_sql(m: str, kind: str, known: str) -> str:
     """What stands for a mention; ``known`` is the document's map of 'kind:norm' to surrogates."""
     words = f"slice(split({m}, ' '), 2, 2)"
     plain = f"{known}[concat({kind}, ':', {norm_sql(kind, m)})]"
-    given = f"{known}[concat('name_', {_role_sql(m)}, ':', lower({words}[0]))]"
+    given = f"{known}[concat('name_g:', lower({words}[0]))]"
     last = f"{known}[concat('name_s:', lower(element_at({words}, -1)))]"
+    domain = f"{known}[concat('domain:', lower(split_part({m}, '@', 2)))]"
     return f"""(CASE WHEN {kind} = 'person' THEN concat_ws(' ', split({m}, ' ')[0], IF(size({words}) > 1, {given}, NULL), {last})
+        WHEN {kind} = 'email' THEN concat({plain}, '@', {domain})
         WHEN {kind} IN ('phone', 'card', 'ssn', 'iban') THEN {_filled(m, plain)} ELSE {plain} END)"""
 
 
@@ -179,36 +203,56 @@ def mentions(docs: DataFrame) -> DataFrame:
 def assign(found: DataFrame, key: str) -> DataFrame:
     """(kind, norm, s): every entity with a surrogate that is unlike all others and unlike all entities.
 
-    Rounds raise the counter of what clashes; few do, so rounds are few.
+    Rounds raise the counter of what clashes; few do, so rounds are few. What still clashes after ``ROUNDS`` has a hash put behind it.
     """
-    each = found.select(F.explode(F.expr(entities_sql())).alias("e")).select("e.*").distinct()
+    each = found.select(F.explode(F.expr(entities_sql())).alias("e")).select("e.*").groupBy("kind", "norm")
+    roles = F.collect_set(F.when(F.col("role") != "x", F.col("role")))
+    each = each.agg(roles.alias("rs")).select("kind", "norm", F.when(F.size("rs") == 1, F.col("rs")[0]).otherwise("x").alias("role"))
     state = written(with_surrogate(each.withColumn("n", F.lit(0)), key), "surrogates")
-    originals = state.select("kind", F.col("norm").alias("s"))
-    # Names are compared in lower case, as entities are.
-    same = F.when(F.col("kind").startswith("name_"), F.lower("s")).otherwise(F.col("s")).alias("s")
-    for _ in range(ROUNDS):
-        taken = state.select("kind", "norm", "n", same)
-        first = taken.groupBy("kind", "s").agg(F.min(F.struct("n", "norm")).alias("first"), F.count(F.lit(1)).alias("held")).filter("held > 1")
-        clash = taken.join(first, ["kind", "s"]).filter(F.col("norm") != F.col("first.norm")).select("kind", "norm")
-        real = taken.join(originals, ["kind", "s"], "left_semi").select("kind", "norm")
+    # Names are compared in lower case, as entities are, given names and surnames together; local parts within their domain.
+    at = F.when(F.col("kind") == "email", F.split_part("norm", F.lit("@"), F.lit(2))).when(F.col("kind").startswith("name_"), "name").otherwise(F.col("kind")).alias("space")
+    own = F.when(F.col("kind") == "email", F.split_part("norm", F.lit("@"), F.lit(1))).otherwise(F.col("norm")).alias("s")
+    originals = written(state.select(at, own).distinct(), "entities")
+    low = F.lower("s").alias("s")
+    for turn in range(ROUNDS + 1):
+        taken = state.select("kind", "norm", "role", "n", at, low)
+        first = taken.groupBy("space", "s").agg(F.min(F.struct("n", "kind", "norm")).alias("first"), F.count(F.lit(1)).alias("held")).filter("held > 1")
+        clash = taken.join(first, ["space", "s"]).filter(F.struct("n", "kind", "norm") != F.col("first")).select("kind", "norm")
+        real = taken.join(originals.select("space", low), ["space", "s"], "left_semi").select("kind", "norm")
         again = written(clash.unionByName(real).distinct(), "surrogate-clashes")
         if not again.limit(1).count():
-            return state.select("kind", "norm", "s")
-        raised = state.join(again.withColumn("_up", F.lit(1)), ["kind", "norm"], "left")
-        raised = raised.select("kind", "norm", (F.col("n") + F.coalesce("_up", F.lit(0))).alias("n"))
-        state = written(with_surrogate(raised, key), "surrogates")
-    raise RuntimeError(f"surrogates still clash after {ROUNDS} rounds; a kind has too many entities for its format")
+            break
+        still = state.join(again, ["kind", "norm"], "left_anti")
+        open_ = state.join(again, ["kind", "norm"], "left_semi")
+        if turn == ROUNDS:
+            tail = F.substring(F.sha2(F.concat_ws(":", F.lit(key), "kind", "norm"), 256), 1, 12)
+            state = written(still.unionByName(open_.withColumn("s", F.concat("s", F.lit("x"), tail))), "surrogates")
+            break
+        tries = open_.select("kind", "norm", "role", F.explode(F.transform(F.sequence(F.lit(1), F.lit(TRIES)), lambda k: F.col("n") + k)).alias("n"))
+        tries = written(with_surrogate(tries, key), "surrogate-tries")
+        free = tries.select("*", at, F.lower("s").alias("low"))
+        for held in (still.select(at, F.lower("s").alias("low")), originals.select("space", F.lower("s").alias("low"))):
+            free = free.join(held.distinct(), ["space", "low"], "left_anti")
+        won = free.groupBy("space", "low").agg(F.min(F.struct("n", "kind", "norm")).alias("w")).select("w.kind", "w.norm", "w.n")
+        best = won.groupBy("kind", "norm").agg(F.min("n").alias("n"))
+        last = open_.join(best, ["kind", "norm"], "left_anti").select("kind", "norm", (F.col("n") + TRIES).alias("n"))
+        moved = tries.join(best.unionByName(last), ["kind", "norm", "n"], "left_semi").select(state.columns)
+        before, state = state, written(still.select(state.columns).unionByName(moved), "surrogates")
+        dropped(before, again, tries)
+    return state.select("kind", "norm", "s")
 
 
 def replace_in(docs: DataFrame, key: str) -> DataFrame:
     """``docs`` with its text replaced, and the columns ``_n`` (mentions replaced) and ``_kinds`` (their kinds, sorted)."""
     found = written(mentions(docs), "mentions")
     surrogates = assign(found, key)
-    named = found.select("doc_id", "row", F.explode(F.expr(entities_sql())).alias("e")).select("doc_id", "row", "e.*").distinct()
-    known = named.join(surrogates, ["kind", "norm"]).groupBy("doc_id", "row")
-    known = known.agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws(":", "kind", "norm"), "s"))).alias("_cq_known"))
+    entity = F.concat_ws(":", "kind", "norm").alias("entity")
+    named = found.select("doc_id", "row", F.explode(F.expr(entities_sql())).alias("e")).select("doc_id", "row", "e.kind", "e.norm").select("doc_id", "row", entity).distinct()
+    # An address that a third of all documents hold is dealt over several tasks.
+    told = attach(named, surrogates.select(entity, "s"), "entity", ["doc_id", "row"])
+    known = told.groupBy("doc_id", "row").agg(F.map_from_entries(F.collect_list(F.struct("entity", "s"))).alias("_cq_known"))
     known = written(known.withColumnsRenamed({"doc_id": "_cq_cid", "row": "_cq_crow"}), "known-surrogates")
-    few = known.count() <= BROADCAST_ROWS
+    few = fits(known.agg(F.coalesce(F.sum(F.size("_cq_known")), F.lit(0))).first()[0], ENTRY_BYTES)
     rows = docs.withColumn("_cq_row", F.xxhash64(F.coalesce(F.col("text"), F.lit("")))).withColumn("_cq_id", F.col("doc_id").cast("bigint"))
     same = rows["_cq_id"].eqNullSafe(known["_cq_cid"]) & (rows["_cq_row"] == known["_cq_crow"])
     joined = rows.join(F.broadcast(known) if few else known, same, "left").select(*own(docs), "_cq_known")
