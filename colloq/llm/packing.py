@@ -143,9 +143,12 @@ def _pack(pdf: pd.DataFrame, capacity: int) -> pd.DataFrame:
 
 
 def pack(pieces: DataFrame, length: int = LENGTH, group_size: int = 32768) -> DataFrame:
-    """Give every piece (``PIECES``) a sequence_id and its offset there."""
+    """Give every piece (``PIECES``, a written table) a sequence_id and its offset there.
+
+    Pieces are dealt by a hash of themselves and of their place in the table, so rows that repeat do not meet in one group.
+    """
     groups = max(1, -(-pieces.count() // group_size))
-    dealt = pieces.withColumn("_group", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)))
+    dealt = pieces.withColumn("_group", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.monotonically_increasing_id()), F.lit(groups)))
     return dealt.groupBy("_group").applyInPandas(partial(_pack, capacity=length), f"{PIECES}, sequence_id bigint, offset bigint")
 
 

@@ -15,7 +15,9 @@ QUERIES = {
     "op10_quality": quality.query,
 }
 ORACLE = {
+    "op1_substring_dedup": substring_dedup.SQL,
     "op3_exact_dedup": exact_dedup.SQL,
     "op4_secrets": secrets.SQL,
+    "op7_decontaminate": decontaminate.SQL,
     "op9_chat": chat.SQL,
 }

@@ -1,7 +1,7 @@
 """Sharding over fixed virtual slots.
 
 Records are hashed into a fixed number of virtual slots; bytes and rows are added up for each slot; a
-versioned map says which shard holds which slot. The first version deals slots, heaviest first, to the
+versioned map says which shard holds which slot; a map that exists is edited into its next version. The first version deals slots, heaviest first, to the
 shard with the fewest bytes. A rebalance edits the latest version and moves as few slots as it needs.
 All of it is DataFrame operations; what is gathered in one place is the map, at most ``slots`` rows.
 
@@ -15,7 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import load, new_path, written
+from ..workspace import numbered
+from .common import files_of, load, new_path, written
 
 SLOTS = 4096
 
@@ -42,10 +43,23 @@ class SlotMap:
     def read(self, version: int) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/version={version}")
 
+    def latest(self) -> int | None:
+        """The newest version that is wholly written."""
+        found = [int(f.rsplit("/", 2)[1].split("=")[1]) for f in files_of(self.spark, f"{self.path}/version=*/_SUCCESS")]
+        return max(found, default=None)
+
     def _store(self, version: int, df: DataFrame) -> DataFrame:
+        """Versions are never written over; only what a lost job left half-written is."""
+        if version in {int(f.rsplit("/", 2)[1].split("=")[1]) for f in files_of(self.spark, f"{self.path}/version=*/_SUCCESS")}:
+            raise ValueError(f"version {version} of the slot map exists")
         df.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/version={version}")
         return self.read(version)
 
+    def current(self, sizes: DataFrame, shards: int) -> DataFrame:
+        """The map for rows of these sizes: the latest version edited into a new one, or the first version."""
+        base = self.latest()
+        return self.build(sizes, shards) if base is None else self.rebalance(sizes, shards, base)
+
     def build(self, sizes: DataFrame, shards: int, version: int = 0) -> DataFrame:
         """Heaviest slot first, each to the shard that has the fewest bytes so far."""
         return self._store(version, _dealt(sizes, shards, start=f"array_repeat(CAST(0 AS BIGINT), {shards})"))
@@ -99,13 +113,13 @@ def shard_documents(docs: DataFrame, shards: int = 8, slots: int = SLOTS, slot_m
     )
     rows = written(rows, "shard-rows")
     slot_map = slot_map or SlotMap(spark)
-    placed = slot_map.build(slot_sizes(rows, slots), shards)
+    placed = slot_map.current(slot_sizes(rows, slots), shards)
     # Places: rows before a slot in its shard, then the rank inside the slot. At most `slots` rows are summed up.
     before = F.sum("n").over(Window.partitionBy("shard").orderBy("vslot")) - F.col("n")
     offsets = placed.select("vslot", "shard", before.alias("_before"))
-    rank = F.row_number().over(Window.partitionBy("vslot").orderBy("doc_id", "text_crc32", "size"))
+    # A doc_id that a third of all rows repeat fills one slot; numbers by ranges do not need it in one task.
     return (
-        rows.withColumn("_rank", rank)
+        numbered(rows, ["vslot"], ["doc_id", "text_crc32", "size"], "_nth")
         .join(F.broadcast(offsets), "vslot")  # at most `slots` rows
         .select(
             "doc_id",
@@ -113,7 +127,7 @@ def shard_documents(docs: DataFrame, shards: int = 8, slots: int = SLOTS, slot_m
             "text_crc32",
             F.lit("bytes").alias("law"),
             "shard",
-            (F.col("_before") + F.col("_rank") - 1).cast("bigint").alias("slot"),
+            (F.col("_before") + F.col("_nth") - 1).cast("bigint").alias("slot"),
             F.lit(None).cast("int").alias("grown_shard"),
             "vslot",
         )

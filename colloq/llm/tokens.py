@@ -12,6 +12,7 @@ import re
 import struct
 
 CACHE = 300_000
+SAMPLES = ("The", "river", "Éau", "señorita,", "STRASSE!", "über.", "it;", "a", "Ÿ")  # a vocabulary that reads one of them otherwise gets no short way
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 PLAIN = re.compile(rf'([{LETTERS}]+)([.,!?;:()"%$#&*|+-]*)')
 
@@ -36,6 +37,16 @@ class _Pieces(dict):
         letters = [chr(c) for c in range(0x100) if re.fullmatch(f"[{LETTERS}]", chr(c))]
         self.table = {ord(c): level.pre_tokenize_str(c.lower())[0][0] for c in letters}
 
+        self.short = all(self._split(w) == self._whole(w) for w in SAMPLES)
+
+    def _whole(self, text: str) -> bytes:
+        found = self.full.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(found)}I", *found)
+
+    def _split(self, text: str) -> bytes | None:
+        plain = PLAIN.fullmatch(text)
+        return self._word(plain[1].translate(self.table)) + (self._word(plain[2]) if plain[2] else b"") if plain else None
+
     def _word(self, word: str) -> bytes:
         ids = self.words.get(word)
         if ids is None:
@@ -49,14 +60,9 @@ class _Pieces(dict):
         if len(self) >= CACHE:
             self.clear()
         text = piece.decode("utf-8", "replace")
-        plain = PLAIN.fullmatch(text) if len(text) < 200 else None
-        if plain:
-            ids = self._word(plain[1].translate(self.table))
-            if plain[2]:
-                ids += self._word(plain[2])
-        else:
-            found = self.full.encode(text, add_special_tokens=False).ids
-            ids = struct.pack(f"<{len(found)}I", *found)
+        ids = self._split(text) if self.short and len(text) < 200 else None
+        if ids is None:
+            ids = self._whole(text)
         self[piece] = ids
         return ids
 

@@ -125,6 +125,29 @@ def test_hot_gram_with_many_contexts(spark):
     assert Counter(map(tuple, found.collect())) == removed(rows)
 
 
+def test_words_that_rolling_hashes_take_for_equal_stay(spark):
+    """Thue-Morse words collide under any odd base modulo 2^64; the words themselves differ."""
+    bits = [bin(k).count("1") % 2 for k in range(1024)]
+    x, y = ("".join("ab"[b ^ flip] for b in bits) for flip in (0, 1))
+    same = " ".join(f"w{k}" for k in range(12))
+    rows = [(1, f"{same} {x}"), (2, f"{same} {y}"), (3, f"{same} {x} more")]
+    found = substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id bigint, text string"), batches=2)
+    assert Counter(map(tuple, found.collect())) == removed(rows)
+    assert {r.doc_id: r.n_removed for r in found.collect()} == {1: 0, 2: 0, 3: 13}
+
+
+def test_an_index_is_opened_again_from_its_path(spark, rows):
+    known = [(i, t) for i, t in rows if i is not None]
+    first, second = [r for r in known if r[0] < 30], [r for r in known if r[0] >= 30]
+    index = substring_dedup.FingerprintIndex(spark, buckets=2)
+    found = substring_dedup.substring_dedup(spark.createDataFrame(first, "doc_id bigint, text string"), batches=1, index=index).collect()
+    index.close()
+    again = substring_dedup.FingerprintIndex(spark, index.path)
+    assert again.buckets == 2 and len(again.runs) == 1
+    found += substring_dedup.substring_dedup(spark.createDataFrame(second, "doc_id bigint, text string"), batches=1, index=again).collect()
+    assert Counter(map(tuple, found)) == removed(known)
+
+
 # --- 2 ---------------------------------------------------------------------------------------------------------------
 
 
@@ -320,7 +343,7 @@ def test_surrogates_keep_kind_format_and_reference(spark):
     got = {(r.doc_id, r._n): r.text for r in out.collect()}
     one, two = got[(1, 6)], got[(2, 8)]
     mails = re.findall(r"\S+@\S+", one)
-    assert len(mails) == 2 and mails[0] == mails[1] and mails[0].endswith(".example.com") and "acme" not in one
+    assert len(mails) == 2 and mails[0] == mails[1] and mails[0].endswith(".example") and "acme" not in one
     cards = [c.replace(" ", "") for c in re.findall(r"\d{4} ?\d{4} ?\d{4} ?\d{4}", one)]
     luhn = lambda x: sum(sum(divmod(int(c) * (2 if k % 2 else 1), 10)) for k, c in enumerate(reversed(x))) % 10 == 0
     assert cards[0] == cards[1] != cards[2] and [luhn(c) for c in cards] == [luhn(c.replace(" ", "")) for c in (card, card, other)]
@@ -342,6 +365,55 @@ def test_surrogates_of_distinct_entities_are_distinct_and_no_entities(spark):
     assert all(re.fullmatch(r"@[a-z]{2}", x) for x in new)
 
 
+def mod97(account):
+    turned = account[4:] + account[:4]
+    return int("".join(str(int(c, 36)) for c in turned)) % 97
+
+
+def test_surrogates_of_one_name_are_one_whatever_the_title(spark):
+    texts = [
+        "Mr John Smith and Dr John Smith. Prof. Anna Lee and Ms Anna Lee.",
+        "Dr Anna Lee wrote to a@acme.com and b@acme.com, not to a@other.com.",
+        "DE89370400440532013000 and DE89 3704 0044 0532 0130 00 but DE00370400440532013000; call +49 30 1234 5678.",
+    ]
+    out = [r.text for r in surrogates.replace_in(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), "key").orderBy("doc_id").collect()]
+    a, b, c, d = re.match(r"Mr (\S+ \S+) and Dr (\S+ \S+)\. Prof\. (\S+ \S+) and Ms (\S+ \S+)\.", out[0]).groups()
+    assert a == b != c == d and a.split()[0].endswith("no") and c.split()[0].endswith("na")
+    assert out[1].startswith(f"Dr {c} wrote")
+    mails = re.findall(r"(\w+)@(\w+)\.example", out[1])
+    assert len(mails) == 3 and mails[0][1] == mails[1][1] != mails[2][1] and mails[0][0] != mails[1][0] and "acme" not in out[1]
+    good, spaced, bad = re.match(r"(\w+) and (.{27}) but (\w+);", out[2]).groups()
+    assert good == spaced.replace(" ", "") != "DE89370400440532013000" and good[:2] == "DE" and mod97(good) == 1 and mod97(bad) != 1
+    assert re.search(r"call \+49 \d\d \d{4} \d{4}\.$", out[2]) and "1234 5678" not in out[2]
+
+
+def test_a_format_that_is_too_short_gets_longer(spark):
+    rows = [(i, f"{a}@{d}.com") for i, (a, d) in enumerate((a, d) for d in ("x", "yy") for a in "abcdefghijklmnopqrstuvwxyz")]
+    out = surrogates.replace_in(spark.createDataFrame(rows, "doc_id bigint, text string"), "key").collect()
+    new = {r.doc_id: r.text for r in out}
+    assert len(set(new.values())) == 52 and not set(new.values()) & {t for _, t in rows}
+    assert len({t.split("@")[1] for t in new.values()}) == 2 and all(re.fullmatch(r"[a-z]+@[a-z]+\.example", t) for t in new.values())
+
+
+def test_surrogates_against_brute_force(spark):
+    """On random mentions: the same entity has one surrogate everywhere, distinct ones have distinct ones, and none is an entity."""
+    rng = random.Random(21)
+    pools = {
+        "handle": [f"@{''.join(rng.choices('abcd', k=3))}" for _ in range(30)], "ip": [f"10.0.{rng.randrange(9)}.{rng.randrange(9)}" for _ in range(30)],
+        "ssn": [f"{rng.randrange(100, 999)}-{rng.randrange(10, 99)}-{rng.randrange(1000, 9999)}" for _ in range(30)], "email": [f"{rng.choice('abc')}{rng.randrange(9)}@{rng.choice(['p', 'q', 'r'])}.org" for _ in range(30)],
+    }
+    said = [[rng.choice(pools[rng.choice(list(pools))]) for _ in range(rng.randrange(1, 7))] for _ in range(60)]
+    docs = spark.createDataFrame([(i, " | ".join(w)) for i, w in enumerate(said)], "doc_id bigint, text string")
+    out = {r.doc_id: r.text.split(" | ") for r in surrogates.replace_in(docs, "key").collect()}
+    to = defaultdict(set)
+    for i, w in enumerate(said):
+        for a, b in zip(w, out[i], strict=True):
+            to[a].add(b)
+    assert all(len(v) == 1 for v in to.values())
+    new = [next(iter(v)) for v in to.values()]
+    assert len(set(new)) == len(new) and not set(new) & set(to)
+
+
 # --- 7 ---------------------------------------------------------------------------------------------------------------
 
 
