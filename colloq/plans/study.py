@@ -547,7 +547,7 @@ SELECT n, DATE '2024-03-01' - CAST(n % 30 * CASE n % 5 WHEN 0 THEN 1 WHEN 1 THEN
   CAST(CASE n % 4 WHEN 0 THEN 12 WHEN 1 THEN -4 WHEN 2 THEN 0 ELSE n END AS INTEGER) AS score, 'a_' || CAST(n AS VARCHAR) AS ident,
   CASE n % 4 WHEN 0 THEN date_trunc('minute', make_timestamp((1700000000 + n * 61) * 1000000)) WHEN 1 THEN TIMESTAMP '2024-02-03 04:05:06' WHEN 2 THEN TIMESTAMP '2024-02-03' END AS at,
   CASE n % 3 WHEN 0 THEN 3720 + 10 + n % 50 + 0.5 WHEN 1 THEN 754 ELSE 7 END::DOUBLE AS seconds, CASE n % 3 WHEN 0 THEN '62:' || CAST(10 + n % 50 AS VARCHAR) WHEN 1 THEN '12:34' ELSE '00:07' END AS clock,
-  CASE n % 3 WHEN 0 THEN 'is-it-good-no-' || CAST(n AS VARCHAR) WHEN 1 THEN 'thread' ELSE 'a-very-long-title-that-goes-on-and-on-un' END AS slug, CASE n % 3 WHEN 0 THEN 'See this by u/[user] now' WHEN 1 THEN 'a & b c' ELSE 'x y' END AS body,
+  CASE n % 3 WHEN 0 THEN 'is-it-good-no-' || CAST(n AS VARCHAR) WHEN 1 THEN 'thread' ELSE 'a-very-long-title-that-goes-on-and-on-un' END AS slug, CASE n % 3 WHEN 0 THEN 'See this by /u/[user] now' WHEN 1 THEN 'a & b c' ELSE 'x y' END AS body,
   CASE n % 3 WHEN 0 THEN 'its so fine 20 or 1 234 5' WHEN 1 THEN 'p 12345678 on 2024 03 04 had 7' ELSE 'five of 9' END AS loose, CASE n % 3 WHEN 0 THEN 'It''s "so" Fine, 20% or 1,234.5' WHEN 1 THEN 'P-12345678 on 2024-03-04 had 7' ELSE 'five — of 9' END AS tidy,
   CASE n % 3 WHEN 0 THEN '20;1,234.5' WHEN 1 THEN '7' ELSE '9' END AS numbers, 'the [-slow-] {{+quick+}} brown fox [-' || CAST(n % 2 AS VARCHAR) || '-]' AS diff FROM g""",
 }
