@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import dropped, written
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -36,5 +36,6 @@ def components(edges: DataFrame) -> DataFrame:
             return state.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
                 state.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
             )
-        seen = mark
+        seen, before = mark, state
         state = written(_small_star(_large_star(state)), "edges")
+        dropped(before)

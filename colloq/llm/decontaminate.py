@@ -281,7 +281,7 @@ sized AS (SELECT item, ws, least(10, len(ws)) AS n FROM asked WHERE len(ws) > 0)
 items AS (SELECT DISTINCT item, n, array_to_string(ws[i:i + n - 1], ' ') AS words FROM (SELECT *, unnest(range(1, len(ws) - n + 2)) AS i FROM sized)),
 windows AS (SELECT doc_id, n, i, array_to_string(ws[i:i + n - 1], ' ') AS words FROM (SELECT *, unnest(range(1, greatest(len(ws) - n + 2, 1))) AS i FROM read, (SELECT DISTINCT n FROM items))),
 hits AS (SELECT DISTINCT doc_id, n, i, item FROM windows JOIN items USING (n, words)),
-places AS (SELECT doc_id, count(DISTINCT at) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS at FROM hits) GROUP BY doc_id),
+places AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS place FROM hits) GROUP BY doc_id),
 named AS (SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS names FROM hits GROUP BY doc_id)
 SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM read LEFT JOIN places USING (doc_id) LEFT JOIN named USING (doc_id)

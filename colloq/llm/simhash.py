@@ -1,18 +1,14 @@
 """SimHash near-duplicates with pigeonring filtering.
 
-A fingerprint of ``bits`` bits is a ring, cut into segments. If two fingerprints differ in at most t bits, then
-from some segment on every chain of l consecutive segments has at most l * t / m differences. The chain's part
-that must be equal is the index key: fingerprints are joined only if they share it, then the chain's longer
-prefixes are held to their proportional budgets, and only what passes gets the full Hamming check.
+A fingerprint of 64 bits is a ring of m segments. If two fingerprints differ in at most t bits, then from some
+segment on every chain of l consecutive segments has at most l * t / m differences. The chain's part that must be equal
+is the index key: fingerprints are joined only if they share it, then the chain's longer prefixes are held to their
+proportional budgets, and only what passes gets the full Hamming check. With t = 2 and m = 16 the equal part is seven
+segments, and the search finds every link.
 
-With t = 2 over 64 bits and 16 segments the equal part is seven segments and the search is exact. For wide
-thresholds the equal part that the theorem grants is too short to be selective; there ``clean`` bits are asked for on
-several rings (fixed shuffles of the bits) without budgets, which loses links; the pipeline does not use it.
-
-Classes of equal fingerprints are one node each. A key with at most ``LIGHT`` nodes is checked pair by pair. For larger
-ones: with t = 2 all nodes of such keys go through their 65 one-bit neighbours, where nodes that meet are within two
-bits (exact, and at most 65 meet); with wide thresholds nodes are held against a few leaders of the key, and
-what has matched leaves the key, round by round. Links become components by star contraction.
+Classes of equal fingerprints are one node each. A key with at most ``LIGHT`` nodes is checked pair by pair. The nodes of
+larger keys go through their 65 one-bit neighbours, where nodes that meet are within two bits; that is exact, and at most
+65 nodes meet in one place. Links become components by star contraction.
 
 Defined results: a null or empty text has fingerprint zero and links like any other; rows with a null doc_id take the
 component of their fingerprint's smallest doc_id (null if there is none); rows that repeat get equal results;
@@ -22,7 +18,6 @@ an empty table gives no rows; other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
@@ -33,162 +28,64 @@ from pyspark.sql import functions as F
 from .common import attach, load, written
 from .components import components
 from .shingle_join import near_components
+from .shingles import majority, shingle_hashes
 
+BITS, MOST, SEGMENT = 64, 2, 4
+SEGMENTS = BITS // SEGMENT
+EQUAL = (SEGMENTS - 1) // MOST  # segments that a chain's budget of no difference covers
 LIGHT = 32
-LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-
-
-@dataclass(frozen=True)
-class Scheme:
-    """``repeats``: shingles count as often as they occur. ``segment``, ``clean``: bits. ``rings``: shuffles of the bits."""
-
-    bits: int = 64
-    shingle: int = 3
-    repeats: bool = True
-    most: int = 2
-    segment: int = 4
-    clean: int = 28
-    step: int = 4
-    rings: int = 1
-
-    @property
-    def exact(self) -> bool:
-        return self.bits == 64 and self.most == 2 and self.rings == 1
-
-    def order(self, ring: int) -> np.ndarray:
-        bits = np.arange(self.bits)
-        return bits if ring == 0 else np.random.RandomState(ring).permutation(bits)
-
-    def starts(self) -> list[int]:
-        """Where chains begin; with several rings chains do not overlap."""
-        return list(range(0, self.bits - (self.clean - self.step if self.rings > 1 else 0), self.step))
-
-
-CONTRACT = Scheme()
-#: Five-word shingles as a set; 0.8 of them shared is a cosine of 0.89 and some 38 of 256 bits.
-WIDE = Scheme(bits=256, shingle=5, repeats=False, most=42, segment=4, clean=20, step=20, rings=6)
+SHINGLE = 3
 
 
 # --- Fingerprints ----------------------------------------------------------------------------------------------
 
 
-def shingle_hashes(text: bytes, size: int) -> np.ndarray:
-    """XXH64 (seed 42) of every run of ``size`` words, lower-cased in ASCII and joined by one space."""
-    import xxhash
-
-    words = text.translate(LOWER).split()
-    if not words:
-        return np.zeros(0, "<u8")
-    line = b" ".join(words)
-    if len(words) <= size:
-        return np.array([xxhash.xxh64_intdigest(line, 42)], "<u8")
-    lengths = np.fromiter(map(len, words), "int64", len(words))
-    ends = np.cumsum(lengths + 1) - 1
-    digest = xxhash.xxh64_intdigest
-    spans = zip((ends - lengths)[: len(words) - size + 1].tolist(), ends[size - 1 :].tolist(), strict=True)
-    return np.fromiter((digest(line[a:b], 42) for a, b in spans), "<u8", len(words) - size + 1)
-
-
-def _bit_counts(h: np.ndarray) -> np.ndarray:
-    """How many of the 64-bit numbers have each bit: added up byte-wise in blocks of 255."""
-    total = np.zeros(64, "int64")
-    for k in range(0, len(h), 255 * 1024):
-        part = np.ascontiguousarray(h[k : k + 255 * 1024]).view("u1").reshape(-1, 8)
-        bits = np.unpackbits(part, axis=1, bitorder="little")
-        blocks = -(-len(bits) // 255)
-        padded = np.zeros((blocks * 255, 64), "u1")
-        padded[: len(bits)] = bits
-        total += padded.view("<u8").reshape(blocks, 255, 8).sum(axis=1).view("u1").reshape(blocks, 64).sum(axis=0, dtype="int64")
-    return total
-
-
-def _mixed(h: np.ndarray, k: int) -> np.ndarray:
-    """Further 64 bits of a shingle's hash."""
-    if k == 0:
-        return h
-    x = h + np.uint64((0x9E3779B97F4A7C15 * k) % 2**64)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def fingerprint(text: bytes, scheme: Scheme) -> bytes:
-    h = shingle_hashes(text, scheme.shingle)
-    if not scheme.repeats:
-        h = np.unique(h)
-    if not len(h):
-        return bytes(scheme.bits // 8)
-    words = [np.packbits(_bit_counts(_mixed(h, k)) * 2 > len(h), bitorder="little").tobytes() for k in range(scheme.bits // 64)]
-    return b"".join(words)
-
-
-def _fingerprints(batches: Iterator[pa.RecordBatch], scheme: Scheme) -> Iterator[pa.RecordBatch]:
+def _fingerprints(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        prints = [fingerprint(t.as_buffer().to_pybytes() if t.is_valid else b"", scheme) for t in batch.column(1)]
+        prints = [majority(shingle_hashes(t.as_buffer().to_pybytes() if t.is_valid else b"", shingle)) for t in batch.column(1)]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.binary())], ["doc_id", "fp"])
 
 
-def fingerprints(docs: DataFrame, scheme: Scheme = CONTRACT) -> DataFrame:
-    """(doc_id, fp): the bits as little-endian bytes."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """(doc_id, fp): the bits as little-endian bytes; shingles count as often as they occur."""
     slim = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("binary"))
-    return slim.mapInArrow(partial(_fingerprints, scheme=scheme), "doc_id bigint, fp binary")
+    return slim.mapInArrow(partial(_fingerprints, shingle=shingle), "doc_id bigint, fp binary")
 
 
 # --- Search --------------------------------------------------------------------------------------------------
 
 
-def _matrix(column: pa.Array, bits: int) -> np.ndarray:
-    flat = np.frombuffer(b"".join(column.to_pylist()), "u1").reshape(-1, bits // 8)
+def _matrix(column: pa.Array) -> np.ndarray:
+    flat = np.frombuffer(b"".join(column.to_pylist()), "u1").reshape(-1, BITS // 8)
     return np.unpackbits(flat, axis=1, bitorder="little")
 
 
-def _keys(batches: Iterator[pa.RecordBatch], scheme: Scheme) -> Iterator[pa.RecordBatch]:
-    """(key, rep) for each start of each ring; a key holds the place in its upper bits."""
-    weights = np.int64(1) << np.arange(scheme.clean, dtype="int64")
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, rep) for each segment that a chain can begin with; a key holds the place in its upper bits."""
+    width = EQUAL * SEGMENT
+    weights = np.int64(1) << np.arange(width, dtype="int64")
     for batch in batches:
         if not batch.num_rows:
             continue
-        bits = _matrix(batch.column(1), scheme.bits)
-        keys = []
-        for ring in range(scheme.rings):
-            turned = bits[:, scheme.order(ring)]
-            turned = np.concatenate([turned, turned[:, : scheme.clean]], axis=1)
-            for start in scheme.starts():
-                place = ring * scheme.bits + start
-                keys.append((turned[:, start : start + scheme.clean] @ weights) | np.int64(place << 44))
+        bits = _matrix(batch.column(1))
+        bits = np.concatenate([bits, bits[:, :width]], axis=1)
+        keys = [(bits[:, start : start + width] @ weights) | np.int64(start << 44) for start in range(0, BITS, SEGMENT)]
         reps = np.tile(batch.column(0).to_numpy(zero_copy_only=False), len(keys))
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(reps)], ["key", "rep"])
 
 
-def _verify(batches: Iterator[pa.RecordBatch], scheme: Scheme) -> Iterator[pa.RecordBatch]:
+def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of (a, b, key, fa, fb) what keeps the chain's budgets and then the full threshold."""
-    m = scheme.bits // scheme.segment
-    orders = [scheme.order(r) for r in range(scheme.rings)]
-    sums = np.arange(1, m + 1) * scheme.most // m
-    first = scheme.clean // scheme.segment
+    budgets = np.arange(1, SEGMENTS + 1) * MOST // SEGMENTS
     for batch in batches:
         if not batch.num_rows:
             continue
         a, b, key = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
-        diff = _matrix(batch.column(3), scheme.bits) ^ _matrix(batch.column(4), scheme.bits)
-        place = key >> 44
-        ring, start = place // scheme.bits, place % scheme.bits
-        turn = (np.stack(orders)[ring][np.arange(len(a))[:, None], (start[:, None] + np.arange(scheme.bits)) % scheme.bits]).astype("int32")
-        chain = np.cumsum(np.take_along_axis(diff, turn, axis=1).reshape(len(a), m, -1).sum(axis=2), axis=1)
-        if scheme.exact:  # the budgets grant that some start keeps them; elsewhere the equal part stands for the chain
-            ok = (chain[:, first:] <= sums[first:]).all(axis=1)
-        else:
-            ok = chain[:, -1] >= 0
-        ok &= chain[:, -1] <= scheme.most
-        yield pa.RecordBatch.from_arrays([pa.array(a[ok]), pa.array(b[ok]), pa.array(key[ok])], ["a", "b", "key"])
-
-
-def _checked(pairs: DataFrame, classes: DataFrame, scheme: Scheme) -> DataFrame:
-    """(a, b, key) of the pairs that are near."""
-    fa = classes.select(F.col("rep").alias("a"), F.col("fp").alias("fa"))
-    fb = classes.select(F.col("rep").alias("b"), F.col("fp").alias("fb"))
-    full = pairs.join(fa, "a").join(fb, "b").select("a", "b", "key", "fa", "fb")
-    return full.mapInArrow(partial(_verify, scheme=scheme), "a bigint, b bigint, key bigint")
+        diff = (_matrix(batch.column(3)) ^ _matrix(batch.column(4))).reshape(len(a), SEGMENTS, SEGMENT).sum(axis=2)
+        turn = ((key >> 44) // SEGMENT)[:, None] + np.arange(SEGMENTS)
+        chain = np.cumsum(np.take_along_axis(diff, turn % SEGMENTS, axis=1), axis=1)
+        ok = (chain <= budgets).all(axis=1)  # the last budget is the threshold itself
+        yield pa.RecordBatch.from_arrays([pa.array(a[ok]), pa.array(b[ok])], ["a", "b"])
 
 
 def _flips(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,51 +98,31 @@ def _flips(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(near), pa.array(reps)], ["near", "rep"])
 
 
-def links(classes: DataFrame, scheme: Scheme = CONTRACT) -> DataFrame:
-    """Edges (a, b) between nodes; ``classes`` (rep, fp) is a written table of distinct fingerprints."""
-    keyed = classes.mapInArrow(partial(_keys, scheme=scheme), "key bigint, rep bigint")
+def links(classes: DataFrame) -> DataFrame:
+    """Edges (a, b) that connect whatever differs in at most two bits; ``classes`` (rep, fp) is a written table of distinct fingerprints."""
+    keyed = classes.mapInArrow(_keys, "key bigint, rep bigint")
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = written(keyed.join(shared, "key"), "shared-keys")
     light = members.filter(F.col("n") <= LIGHT).select("key", "rep")
     pairs = light.select("key", F.col("rep").alias("a")).join(light.select("key", F.col("rep").alias("b")), "key").filter("a < b")
-    edges = [_checked(pairs, classes, scheme).select("a", "b").distinct()]
-    heavy = members.filter(F.col("n") > LIGHT).select("key", "rep")
-    if scheme.exact:
-        nodes = classes.join(heavy.select("rep").distinct(), "rep", "left_semi").select("rep", "fp")
-        balls = nodes.mapInArrow(_flips, "near bigint, rep bigint").groupBy("near").agg(F.collect_list("rep").alias("reps"))
-        star = balls.filter(F.size("reps") > 1).select(F.array_min("reps").alias("b"), F.explode("reps").alias("a"))
-        edges.append(star.filter("a <> b").select("a", "b").distinct())
-    else:
-        heavy = written(heavy, "heavy-keys")
-        while heavy.limit(1).count():
-            leaders = heavy.groupBy("key").agg(
-                F.count(F.lit(1)).alias("n"),
-                F.array_distinct(F.array(*[F.min_by("rep", F.xxhash64("rep", F.lit(k))) for k in range(4)])).alias("lead"),
-            )
-            small = leaders.filter(F.col("n") <= LIGHT).select("key")
-            rest = heavy.join(small, "key", "left_semi")
-            pairs = rest.select("key", F.col("rep").alias("a")).join(rest.select("key", F.col("rep").alias("b")), "key").filter("a < b")
-            edges.append(_checked(pairs, classes, scheme).select("a", "b").distinct())
-            lead = leaders.filter(F.col("n") > LIGHT).select("key", F.explode("lead").alias("b"))
-            held = heavy.withColumnRenamed("rep", "a").join(lead, "key")
-            near = written(_checked(held, classes, scheme), "leader-links")  # a leader is near itself and leaves, too
-            edges.append(near.filter("a <> b").select("a", "b").distinct())
-            gone = near.select("key", F.col("a").alias("rep")).distinct()
-            big = heavy.join(small, "key", "left_anti")
-            heavy = written(big.join(gone, ["key", "rep"], "left_anti"), "heavy-keys")
-    whole = edges[0]
-    for more in edges[1:]:
-        whole = whole.unionByName(more)
-    return whole
-
-
-def near_duplicates(docs: DataFrame, scheme: Scheme = CONTRACT) -> DataFrame:
+    fa = classes.select(F.col("rep").alias("a"), F.col("fp").alias("fa"))
+    fb = classes.select(F.col("rep").alias("b"), F.col("fp").alias("fb"))
+    full = pairs.join(fa, "a").join(fb, "b").select("a", "b", "key", "fa", "fb")
+    near = full.mapInArrow(_verify, "a bigint, b bigint").distinct()
+    heavy = members.filter(F.col("n") > LIGHT).select("rep").distinct()
+    nodes = classes.join(heavy, "rep", "left_semi").select("rep", "fp")
+    balls = nodes.mapInArrow(_flips, "near bigint, rep bigint").groupBy("near").agg(F.collect_list("rep").alias("reps"))
+    star = balls.filter(F.size("reps") > 1).select(F.array_min("reps").alias("b"), F.explode("reps").alias("a"))
+    return near.unionByName(star.filter("a <> b").select("a", "b").distinct())
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row a document: doc_id, fp, component_id (the smallest doc_id that links lead to, itself included)."""
-    prints = written(fingerprints(docs, scheme), "fingerprints")
+    prints = written(fingerprints(docs), "fingerprints")
     grouped = prints.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n"))
     classes = written(grouped, "classes")
     known = classes.filter("rep IS NOT NULL").select("rep", "fp")
-    labels = components(links(known, scheme))
+    labels = components(links(known))
     facts = classes.join(labels, classes["rep"] == labels["node"], "left").select(
         "fp", "n", F.coalesce("component", "rep").alias("component_id"), "component"
     )
@@ -257,10 +134,11 @@ def near_duplicates(docs: DataFrame, scheme: Scheme = CONTRACT) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without those whose component has a smaller doc_id; rows with a null doc_id stay.
 
-    Links are the pairs whose five-word shingle sets have a Jaccard of 0.8 or more, all of them and no others: bits alone
-    neither find nor prove that, so the search is the exact one of ``shingle_join``.
+    Links are the pairs whose five-word shingle sets have a Jaccard of 0.8 or more, all of them and no others. Fingerprints of
+    these sets and the pigeonring search above give the closest pairs; bits neither prove a similarity nor find all pairs down
+    to 0.8, so each pair is counted, and ``shingle_join`` finds what lies beyond two bits.
     """
-    drop = near_components(docs).select(F.col("doc_id").alias("_cq_drop"))
+    drop = near_components(docs, links).select(F.col("doc_id").alias("_cq_drop"))
     return docs.join(drop, docs["doc_id"].cast("bigint") == drop["_cq_drop"], "left_anti")
 
 

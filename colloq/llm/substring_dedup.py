@@ -506,9 +506,9 @@ WITH texts AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, '
 windows AS (SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS words FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM texts)),
 least AS (SELECT words, min(doc_id) AS doc_id FROM windows GROUP BY words),
 hits AS (SELECT w.doc_id, w.i FROM windows w JOIN least l USING (words) WHERE l.doc_id < w.doc_id),
-gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS at FROM hits),
-each AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS at FROM texts),
-kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY at) AS line, count(*) AS n FROM each ANTI JOIN gone USING (doc_id, at) GROUP BY doc_id)
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS place FROM hits),
+each AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS place FROM texts),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS line, count(*) AS n FROM each ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id)
 SELECT t.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(line, '')) AS kept_sha256
 FROM texts t LEFT JOIN kept USING (doc_id)
 """
