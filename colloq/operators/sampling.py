@@ -94,6 +94,8 @@ def detail_selection(pool: DataFrame, budget: int = t.DETAIL_BUDGET, per_person:
     """
     if pool.limit(budget + 1).count() <= budget:
         return pool.select("post_id", "person", F.array(F.lit("all")).alias("reasons"))
+    pool = written(pool, "detail-pool")
+    clusters = None if clusters is None else written(clusters, "detail-clusters")
     picked = pool.filter("kind = 'post'").select("post_id", "person", F.lit(0).alias("step"), F.lit("post").alias("reason"))
     picked = written(picked, "detail-picked")
     score = F.desc(F.coalesce("score", F.lit(0)))

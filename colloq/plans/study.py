@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .. import thresholds as t
 from ..functions import text as x
 from ..operators import audit, coding, privacy, records, sampling, signals, stats, synthesis, themes
+from ..workspace import written
 from . import views as v
 from .language import _SIGNALS
 from .measures import _ASPECT_TABLE, _FRAME, _LOO, _PCT, _SHARES, _boot, _pool
@@ -213,7 +214,7 @@ def _flagged(spark, sf):
 
 
 def _selected(spark, sf):
-    pool = _flagged(spark, sf).withColumn("kind", F.expr("CASE WHEN ord < 40 THEN kind ELSE 'comment' END"))
+    pool = written(_flagged(spark, sf).withColumn("kind", F.expr("CASE WHEN ord < 40 THEN kind ELSE 'comment' END")), "flagged")
     clusters = pool.select("post_id", (F.col("ord") % 3).cast("int").alias("cluster"), F.row_number().over(stats.Window.partitionBy(F.col("ord") % 3).orderBy("ord")).alias("place"))
     return sampling.detail_selection(pool, clusters=clusters)
 
