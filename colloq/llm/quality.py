@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import load, own
+from .common import load, own, trim
 
 SAMPLE = 20_000
 THRESHOLD = 0.7
@@ -205,6 +205,7 @@ def _fit_rows(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[p
 
 def train(docs: DataFrame, labels: DataFrame, target: str = "quality", sample: int = SAMPLE) -> Rules:
     """Fit to a sample of at most ``sample`` labelled documents, in one task; the driver gets the rules alone."""
+    trim(docs.sparkSession)
     doc_id = F.col("doc_id").cast("bigint")
     known = labels.select(doc_id.alias("_id"), F.col(target).cast("int").alias("_y")).dropna()
     known = known.filter(~held_out(F.col("_id"))).groupBy("_id").agg(F.max("_y").alias("_y"))

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import attach, dropped, fits, written
+from .common import attach, dropped, fits, trim, written
 from .components import components
 from .shingles import majority, shingle_hashes
 
@@ -248,6 +248,7 @@ def near_components(docs: DataFrame, search: Callable[[DataFrame], DataFrame]) -
 
     ``search`` gives the links (a, b) between fingerprints (rep, fp) that are close.
     """
+    trim(docs.sparkSession)
     with _small_batches(docs.sparkSession):
         return _near_components(docs, search)
 
