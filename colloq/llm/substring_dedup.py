@@ -42,8 +42,8 @@ from .common import drop_folder, dropped, files_of, load, new_path, tidy, writte
 
 WINDOW = 13
 GRAM = 6
-MOST_RUNS = 2
-BATCHES = 4
+MOST_RUNS = 1
+BATCHES = 3
 HOT = 64
 SALTS = 32
 M = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
@@ -374,10 +374,11 @@ class FingerprintIndex:
         self.paths[name] = path
         return name
 
-    def _write(self, df: DataFrame) -> str:
+    def _write(self, df: DataFrame, dealt: bool = False) -> str:
+        """A run of ``df``; ``dealt`` if its partitions are the buckets already."""
         path = f"{self.path}/run-{uuid.uuid4().hex[:12]}-{self.buckets}"
         name = self._table(path)
-        sorted_ = df.repartition(self.buckets, "gram", "salt").sortWithinPartitions("gram", "salt", "chk", "doc_id")
+        sorted_ = (df if dealt else df.repartition(self.buckets, "gram", "salt")).sortWithinPartitions("gram", "salt", "chk", "doc_id")
         writer = sorted_.write.mode("append").format("parquet").bucketBy(self.buckets, "gram", "salt")
         with tidy(self.spark):
             writer.sortBy("gram", "salt", "chk", "doc_id").option("path", path).saveAsTable(name)
@@ -408,11 +409,12 @@ class FingerprintIndex:
         found = rows.filter("salt >= 0").withColumns({"first": F.min("doc_id").over(same), "lo": F.min("chk").over(gram), "hi": F.max("chk").over(gram)})
         found = found.filter("nth >= 0").withColumn("many", (F.col("lo") != F.col("hi")) | (F.col("salt") > 0))
         old = self.history()
-        if old is not None:
-            seen = old.filter("salt >= 0").groupBy("gram", "salt", "chk").agg(F.min("doc_id").alias("seen"))
-            known = old.filter("salt >= 0").groupBy("gram", "salt").agg(F.lit(True).alias("known"))
+        for k, table in enumerate(self.runs):  # run by run, so that each join uses the buckets as they are
+            held = self.spark.table(table).filter("salt >= 0")
+            seen = held.groupBy("gram", "salt", "chk").agg(F.min("doc_id").alias(f"seen{k}"))
+            known = held.groupBy("gram", "salt").agg(F.lit(True).alias(f"known{k}"))
             found = found.join(seen.hint("merge"), ["gram", "salt", "chk"], "left").join(known.hint("merge"), ["gram", "salt"], "left")
-            found = found.withColumns({"first": F.least("first", "seen"), "many": F.col("many") | F.coalesce("known", F.lit(False))})
+            found = found.withColumns({"first": F.least("first", f"seen{k}"), "many": F.col("many") | F.coalesce(f"known{k}", F.lit(False))})
         found = found.select("doc_id", "nth", "gram", "chk", (F.col("first") < F.col("doc_id")).alias("whole"), "many").filter("whole OR many").drop("many")
         local = rows.filter(F.col("salt") == LOCAL).select("doc_id", "nth", "gram", "chk", F.lit(True).alias("whole"))
         self.runs.append(run)
@@ -427,8 +429,9 @@ class FingerprintIndex:
     def compact(self) -> None:
         """Merge the runs into one; of a stretch that several hold, the first document stays."""
         if len(self.runs) > 1:
-            first = self.history().filter("salt >= 0").groupBy("gram", "salt", "chk").agg(F.min(F.struct("doc_id", "nth")).alias("x"))
-            merged = self._write(first.select("gram", "salt", "chk", "x.doc_id", "x.nth"))
+            dealt = self.history().filter("salt >= 0").repartition(self.buckets, "gram", "salt")
+            first = dealt.groupBy("gram", "salt", "chk").agg(F.min(F.struct("doc_id", "nth")).alias("x"))
+            merged = self._write(first.select("gram", "salt", "chk", "x.doc_id", "x.nth"), dealt=True)
             for run in self.runs:
                 self.spark.sql(f"DROP TABLE {run}")
                 drop_folder(self.spark, self.paths.pop(run))
@@ -485,7 +488,7 @@ def substring_dedup(docs: DataFrame, batches: int = BATCHES, texts: bool = False
         for texts_before in index.delivered:
             earlier = texts_before if earlier is None else earlier.unionByName(texts_before)
         parts.append(_ingest(batch, earlier, index, texts))
-        if len(index.runs) > MOST_RUNS:
+        if len(index.runs) > MOST_RUNS and (keep or hi is not None):
             index.compact()
     if keep:
         index.deliver(slim.filter("doc_id IS NOT NULL"))
