@@ -8,9 +8,11 @@ search is and never what it finds; a pair becomes a link only after its two sets
 
 Documents with equal sets are one node. Pairs come in rounds, so that large groups of copies do not cost all their pairs: first
 those whose fingerprints are close; then in each shared shingle one member of each component against the member with
-the most links. After a round shingles whose documents are all in one component are done. What is left is compared pair by
-pair without any cap, except pairs of one component, which cannot change it. Sets are made again from the texts of the documents
-that a round asks for; no table of all sets is kept.
+the fewest shingles ahead of it, which is the one that the others were made from, if it is there. After a round shingles whose
+documents are all in one component are done. What is left is compared pair by pair without any cap, except pairs of one
+component, which cannot change it, and pairs whose places forbid it: two sets have nothing in common ahead of their first common
+shingle, so they share at most what either has from there on, and a pair that shares enough passes at that shingle. Sets are
+made again from the texts of the documents that a round asks for; no table of all sets is kept.
 
 Defined results: texts without words have equal (empty) sets; rows that repeat a doc_id and a set are one document; a doc_id with several
 different sets is compared with none, so its rows stay; rows with a null doc_id stay.
@@ -148,6 +150,12 @@ def _close(small: str, large: str) -> Column:
     return F.col(small) * q >= F.col(large) * p
 
 
+def _enough(na: str, at: str, nb: str, bt: str) -> Column:
+    """Whether sets of ``na`` and ``nb`` shingles can share enough if the first common one is at these places."""
+    p, q = SHARE
+    return F.least(F.col(na) - F.col(at), F.col(nb) - F.col(bt)) * (p + q) >= (F.col(na) + F.col(nb)) * p
+
+
 def _bridges(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of shingles whose documents are in several components."""
     told = members.join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
@@ -165,7 +173,8 @@ def _same_prints(nodes: DataFrame, search: Callable[[DataFrame], DataFrame]) ->
 
 
 def _members(nodes: DataFrame, rare: DataFrame) -> DataFrame:
-    """(key, rep, size, short), written: the prefixes of the nodes that can have a partner, without shingles that only one of them has.
+    """(key, rep, size, pos), written: the prefixes of the nodes that can have a partner, without shingles that only one of them has
+    and without those that come too late in a node for the smallest partner there.
 
     ``nodes``: rep, size, many, late; ``rare``: (key, rep) of their shingles that are not frequent.
     """
@@ -183,10 +192,10 @@ def _members(nodes: DataFrame, rare: DataFrame) -> DataFrame:
     late = can.select("rep", "size", (F.col("alone") + F.col("again")).alias("_from"), F.posexplode("late").alias("at", "key"))
     both = early.unionByName(late.select("key", "rep", "size", (F.col("_from") + F.col("at")).alias("pos")))
     n = F.col("size")
-    first, short = n - F.ceil(n * p / q) + 1, n - F.ceil(2 * n * p / (p + q)) + 1
-    posted = written(both.filter(F.col("pos") < first).select("key", "rep", "size", (F.col("pos") < short).alias("short")), "near-prefixes")
-    shared = posted.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-    out = written(posted.join(shared, "key"), "shared-keys")
+    posted = written(both.filter((n - F.col("pos")) * q >= n * p).select("key", "rep", "size", "pos"), "near-prefixes")
+    shared = posted.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("size").alias("least")).filter("n > 1").select("key", "least")
+    smallest = F.greatest(F.col("least"), F.ceil(n * p / q))
+    out = written(posted.join(shared, "key").filter((n - F.col("pos")) * (p + q) >= (n + smallest) * p).drop("least"), "shared-keys")
     dropped(again, can, posted)
     return out
 
@@ -209,12 +218,11 @@ def links(nodes: DataFrame, members: DataFrame, docs: DataFrame, search: Callabl
     for _ in range(ROUNDS):
         if not open_.limit(1).count():
             return labels
-        ends = edges.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("degree"))
-        told = open_.join(ends, "rep", "left").withColumn("degree", F.coalesce("degree", F.lit(0)))
-        one = told.groupBy("key", "component").agg(F.max(F.struct("degree", "rep", "size")).alias("x")).select("key", "component", "x.degree", "x.rep", "x.size")
-        lead = one.groupBy("key").agg(F.max(F.struct("degree", "rep", "size", "component")).alias("x"))
-        lead = lead.select("key", F.col("x.rep").alias("a"), F.col("x.size").alias("size_a"), F.col("x.component").alias("component_a"))
+        one = open_.groupBy("key", "component").agg(F.min(F.struct("pos", "rep", "size")).alias("x")).select("key", "component", "x.pos", "x.rep", "x.size")
+        lead = one.groupBy("key").agg(F.min(F.struct("pos", "rep", "size", "component")).alias("x"))
+        lead = lead.select("key", F.col("x.rep").alias("a"), *[F.col(f"x.{c}").alias(f"{c}_a") for c in ("pos", "size", "component")])
         held = one.join(lead, "key").filter("component <> component_a").filter(_close("size", "size_a") & _close("size_a", "size"))
+        held = held.filter(_enough("size_a", "pos_a", "size", "pos"))
         more = _verified(held.select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")).distinct(), docs)
         if not more.limit(1).count():
             break
@@ -222,10 +230,11 @@ def links(nodes: DataFrame, members: DataFrame, docs: DataFrame, search: Callabl
         dropped(labels, open_)
         labels = written(components(edges), "near-components")
         open_ = written(_bridges(members, labels), "open-shingles")
-    one = open_.select("key", F.col("rep").alias("a"), F.col("size").alias("size_a"), F.col("component").alias("component_a"), "short").filter("short")
-    two = open_.select("key", F.col("rep").alias("b"), F.col("size").alias("size_b"), F.col("component").alias("component_b"))
+    side = lambda s: open_.select("key", F.col("rep").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("pos", "size", "component")])
+    short = _enough("size_a", "pos_a", "size_a", "pos_a")  # the smaller set has its first common shingle that early
     ahead = F.struct("size_a", "a") < F.struct("size_b", "b")
-    pairs = one.join(two, "key").filter(ahead & (F.col("component_a") != F.col("component_b")) & _close("size_a", "size_b")).select("a", "b").distinct()
+    can = ahead & (F.col("component_a") != F.col("component_b")) & _enough("size_a", "pos_a", "size_b", "pos_b") & _close("size_a", "size_b")
+    pairs = side("a").filter(short).join(side("b"), "key").filter(can).select("a", "b").distinct()
     last = _verified(pairs, docs)
     dropped(open_)
     return components(edges.unionByName(last)) if last.limit(1).count() else labels

@@ -4,7 +4,7 @@ import random
 from collections import Counter
 
 import corpus_pipeline
-from colloq.llm import exact_dedup, quality
+from colloq.llm import exact_dedup, quality, shingle_join
 
 
 def test_stages_take_effect(spark, tmp_path):
@@ -101,3 +101,24 @@ def test_documents_below_the_threshold_stay(spark):
             copy[at] = f"g{g}z{at}"
         texts += [" ".join(base), " ".join(copy)]
     assert kept_near(spark, texts) == set(range(300))
+
+
+def test_group_with_texts_below_the_threshold_costs_no_pairs_of_them(spark, monkeypatch):
+    rng = random.Random(8)
+    base = [f"w{k}" for k in range(150)]
+    def edited(n):  # noqa: E306
+        copy = list(base)
+        for at in rng.sample(range(5, 145, 6), n):
+            copy[at] = f"z{rng.random()}"
+        return copy
+    near = [edited(rng.randint(1, 3)) for _ in range(120)]  # 146 shingles: 3 edits leave 131, and 130 are enough
+    far = [edited(rng.randint(4, 5)) for _ in range(120)]
+    short = [edited(2)[: rng.randint(100, 149)] for _ in range(20)]
+    texts = [" ".join(t) for t in [base, *near, *far, *short]]
+    rng.shuffle(texts)
+    counted, verified = [], shingle_join._verified
+    monkeypatch.setattr(shingle_join, "_verified", lambda pairs, docs: counted.append(pairs.count()) or verified(pairs, docs))
+    roots, _ = plain_components(texts)
+    assert max(Counter(roots).values()) > 120 and len(set(roots)) > 100
+    assert kept_near(spark, texts) == {i for i, r in enumerate(roots) if r == i}
+    assert sum(counted) < 20 * len(texts)
