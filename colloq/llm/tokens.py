@@ -12,9 +12,10 @@ import re
 import struct
 
 CACHE = 300_000
-SAMPLES = ("The", "river", "Éau", "señorita,", "STRASSE!", "über.", "it;", "a", "Ÿ")  # a vocabulary that reads one of them otherwise gets no short way
+SAMPLES = ("The", "river", "Éau", "señorita,", "STRASSE!", "über.", "it;", "a", "naïve?!", 'dit"),', "Ÿ")
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-PLAIN = re.compile(rf'([{LETTERS}]+)([.,!?;:()"%$#&*|+-]*)')
+MARKS = '.,!?;:()"%$#&*|+-'
+PLAIN = re.compile(rf"([{LETTERS}]+)([{re.escape(MARKS)}]*)")
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -37,7 +38,8 @@ class _Pieces(dict):
         letters = [chr(c) for c in range(0x100) if re.fullmatch(f"[{LETTERS}]", chr(c))]
         self.table = {ord(c): level.pre_tokenize_str(c.lower())[0][0] for c in letters}
 
-        self.short = all(self._split(w) == self._whole(w) for w in SAMPLES)
+        # a vocabulary that reads a sample, a letter or a mark otherwise gets no short way; what is not plain never takes it
+        self.short = all(self._split(w) in (None, self._whole(w)) for w in (*SAMPLES, *letters, *("a" + c for c in MARKS)))
 
     def _whole(self, text: str) -> bytes:
         found = self.full.encode(text, add_special_tokens=False).ids

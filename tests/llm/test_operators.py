@@ -1,6 +1,7 @@
 """Each operator against a plain restatement on small tables that hold nulls, empties, ties, repeats, copies and long texts."""
 
 import hashlib
+import json
 import random
 import re
 import zlib
@@ -186,6 +187,20 @@ def test_tokens_of_odd_pieces_match_the_tokenizer():
         assert got == full.encode(t, add_special_tokens=False).ids, t
 
 
+def test_plain_pieces_take_the_short_way_and_only_where_the_vocabulary_allows_it(tmp_path):
+    rng = random.Random(4)
+    letters = [chr(c) for c in range(256) if tokens.PLAIN.fullmatch(chr(c))]
+    plain = ["".join(rng.choices(letters, k=rng.randint(1, 9)) + rng.choices('.,!?;:()"%$#&*|+-', k=rng.randint(0, 3))) for _ in range(2000)]
+    known = tokens._Pieces(tokens.tokenizer_path())
+    assert known.short and all(known._split(w) == known._whole(w) for w in plain)
+    with open(tokens.tokenizer_path(), encoding="utf-8") as f:
+        spec = json.load(f)
+    spec["normalizer"] = None  # capital letters stay
+    (tmp_path / "other.json").write_text(json.dumps(spec), encoding="utf-8")
+    other = tokens._Pieces(str(tmp_path / "other.json"))
+    assert not other.short and all(other[w.encode()] == other._whole(w) for w in plain)
+
+
 def test_local_search_empties_bins_that_best_fit_leaves():
     lengths = [6, 6, 5, 5, 4, 4]
     bins = [[0, 2], [1, 3], [4, 5]]  # 11, 11 and 8 of 15 hold 30
