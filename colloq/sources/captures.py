@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text as x
 from ..operators import conversation, matching
+from ..workspace import written
+from .rows import union
 
 SCHEMA = (
     "source_file string, site string, url string, captured string, thread_title string, search_query string, "
@@ -41,7 +43,8 @@ def items(captures: DataFrame) -> DataFrame:
 def problems(captures: DataFrame, sources: DataFrame) -> DataFrame:
     """(file, id, problem): all that is wrong; ``sources`` (source_file) lists the files that exist.
 
-    A file that cannot be used has its first problem; others have all problems of their posts.
+    A file that cannot be used has its first problem; others have all problems of their posts. Posts are rows that meet the ids of
+    their capture in a join, so no row holds the ids of a whole file.
     """
     known = captures.join(sources.select("source_file").distinct().withColumn("_there", F.lit(True)), "source_file", "left")
     whole = (
@@ -50,18 +53,17 @@ def problems(captures: DataFrame, sources: DataFrame) -> DataFrame:
         .when(~_suffix(F.col("source_file")).isin(*TEXTS, *IMAGES), "source file is neither text nor image")
         .when(F.coalesce(F.size("posts"), F.lit(0)) < 1, "no posts")
     )
-    judged = known.withColumn("problem", whole)
-    ids = F.transform("posts", lambda p: F.coalesce(p["id"], F.lit("")))
-    usable = judged.filter("problem IS NULL").withColumn("_ids", ids)
-    twice = usable.filter(F.size(F.array_distinct("_ids")) < F.size("_ids")).select("file", F.lit(None).cast("string").alias("id"), F.lit("duplicate post ids").alias("problem"))
-    posts = usable.select("file", "_ids", F.explode("posts").alias("p")).select("file", "_ids", "p.*")
-    rules = F.array(
-        F.when(F.trim(F.coalesce("text", F.lit(""))) == "", "empty text"),
-        F.when((F.coalesce("parent", F.lit("")) != "") & ~F.array_contains("_ids", F.col("parent")), "parent not in this capture"),
-        F.when((F.coalesce("date", F.lit("")) != "") & _date(F.col("date")).isNull(), "date is not YYYY-MM-DD"),
-    )
-    of_posts = posts.select("file", "id", F.explode(F.filter(rules, lambda r: r.isNotNull())).alias("problem"))
-    return judged.filter("problem IS NOT NULL").select("file", F.lit(None).cast("string").alias("id"), "problem").unionByName(twice).unionByName(of_posts)
+    judged = known.withColumn("problem", whole).withColumn("_c", F.monotonically_increasing_id())
+    each = judged.select("_c", "file", "problem", F.explode_outer(F.when(F.col("problem").isNull(), F.col("posts"))).alias("p"))
+    told = each.select("_c", "file", "problem", "p.id", "p.parent", (F.trim(F.coalesce("p.text", F.lit(""))) == "").alias("_empty"), ((F.coalesce("p.date", F.lit("")) != "") & _date(F.col("p.date")).isNull()).alias("_undated"))
+    told = written(told, "capture-posts")  # a row a post, or a file that cannot be used
+    posts = told.filter("problem IS NULL").withColumn("_id", F.coalesce("id", F.lit("")))
+    ids = posts.groupBy("_c", "_id").agg(F.count(F.lit(1)).alias("n"), F.first("file").alias("file"))
+    say = lambda df, problem: df.select("file", "id", F.lit(problem).alias("problem"))
+    twice = ids.filter("n > 1").select("_c", "file").distinct().withColumn("id", F.lit(None).cast("string"))
+    lost = posts.filter("parent <> ''").join(ids.select("_c", F.col("_id").alias("parent")), ["_c", "parent"], "left_anti")
+    parts = [say(twice, "duplicate post ids"), say(posts.filter("_empty"), "empty text"), say(lost, "parent not in this capture"), say(posts.filter("_undated"), "date is not YYYY-MM-DD")]
+    return union([told.filter("problem IS NOT NULL").select("file", F.lit(None).cast("string").alias("id"), "problem"), *parts])
 
 
 def warnings(captures: DataFrame) -> DataFrame:
