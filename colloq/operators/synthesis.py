@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import thresholds as t
 from ..functions import text as x
+from ..workspace import written
 from . import matching, stats
 
 FORCES = ("push", "pull", "anxiety", "habit")
@@ -193,7 +194,7 @@ def nuggets(observations: DataFrame, detail: DataFrame, codes: DataFrame) -> tup
     known = observations.withColumn("nth", nth).join(detail, "post_id", "left").withColumn("_in", F.col("text").isNotNull())
     first = known.filter("_in AND nth = 1")
     checked = matching.elided_check(first.withColumnsRenamed({"quote": "said", "text": "source"})).withColumnsRenamed({"said": "quote", "source": "text"})
-    full = checked.join(codes.withColumn("_coded", F.lit(True)), "post_id", "left")
+    full = written(checked.join(codes.withColumn("_coded", F.lit(True)), "post_id", "left"), "nuggets")
     say = lambda df, level, problem: df.select("post_id", F.lit(level).alias("level"), F.lit(problem).alias("problem"))
     found = [
         say(known.filter("NOT _in"), "error", "not in the detail selection"),
