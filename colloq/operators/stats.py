@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 
 from .. import thresholds as t
 from ..functions import text as x
+from ..workspace import written
+
+#: Weights of clusters in draws that are sent to all tasks: some 20 MB.
+BROADCAST_WEIGHTS = 500_000
 
 
 def shares(measures: DataFrame) -> DataFrame:
@@ -116,11 +120,17 @@ def people_net_negative(records: DataFrame) -> DataFrame:
 
 def net_negative_range(records: DataFrame, by: str, draws: int, seed: int) -> DataFrame:
     """Range of the share of net-negative people; in a draw a person counts by the mean weight of their comments."""
-    own = records.groupBy(F.col(by).alias("cluster"), "person").agg(F.sum("overall").alias("s"), F.count(F.lit(1)).alias("m"))
-    size = records.groupBy("person").agg(F.count(F.lit(1)).alias("all"))
-    weights = boot_weights(own.select("cluster"), draws, seed)
-    person = own.join(weights, "cluster").groupBy("draw", "person").agg(F.sum(F.col("w") * F.col("s")).alias("s"), F.sum(F.col("w") * F.col("m")).alias("m"))
-    person = person.join(size, "person").withColumn("mult", F.col("m") / F.col("all"))
+    told = records.select(F.col(by).alias("cluster"), "person", "overall").repartition("person")
+    own = told.groupBy("person", "cluster").agg(F.sum("overall").alias("s"), F.count(F.lit(1)).alias("m"))
+    own = own.withColumn("all", F.sum("m").over(Window.partitionBy("person")))
+    clusters = written(records.select(F.col(by).alias("cluster")).distinct(), "clusters")
+    weights = boot_weights(clusters, draws, seed)
+    if by == "person":  # a person is one cluster, with one weight a draw
+        person = own.join(weights, "cluster").select("draw", "person", (F.col("w") * F.col("s")).alias("s"), F.col("w").alias("mult"))
+    else:
+        few = draws * clusters.count() <= BROADCAST_WEIGHTS  # then rows stay with their person, where draws are added up without a shuffle
+        person = own.join(F.broadcast(weights) if few else weights, "cluster").groupBy("person", "draw")
+        person = person.agg(F.sum(F.col("w") * F.col("s")).alias("s"), F.sum(F.col("w") * F.col("m")).alias("m"), F.first("all").alias("all")).withColumn("mult", F.col("m") / F.col("all"))
     rate = person.groupBy("draw").agg((100 * F.sum(F.when(F.col("s") < 0, F.col("mult")).otherwise(0.0)) / F.sum("mult")).alias("rate"))
     lo, hi = interval(F.col("rate"))
     return rate.agg(lo.alias("lo"), hi.alias("hi"))
@@ -290,19 +300,32 @@ def without_caps(weighted: DataFrame) -> DataFrame:
     return out.select("n_people", "n_items", "status", F.when(F.col("status") != "counts-only", 100 * F.col("neg") / F.col("total")).alias("pct"))
 
 
+def _between(tags: DataFrame, posts: DataFrame, runs: DataFrame, at: Column) -> tuple[DataFrame, DataFrame]:
+    """(run, cuts): the sorted places of the first posts of topics; (run, ahead, held, n): posts by the cuts ahead of them, the cuts' own apart.
+
+    Numbers as places are kept in a hash map of runs and topics; other values would be sorted with every post of every run.
+    """
+    first = tags.filter("topic IS NOT NULL").crossJoin(runs).select("run", "topic", at.alias("at")).groupBy("run", "topic").agg(F.min("at").alias("at"))
+    cuts = written(first.groupBy("run").agg(F.sort_array(F.collect_set("at")).alias("cuts"), F.sort_array(F.collect_list("at")).alias("every")), "cuts")
+    ahead = F.size(F.filter("every", lambda c: c < F.col("at"))).alias("ahead")
+    placed = posts.crossJoin(runs).select("run", at.alias("at")).join(F.broadcast(cuts), "run").select("run", ahead, F.array_contains("cuts", F.col("at")).alias("held"))
+    return cuts.select("run", F.col("every").alias("cuts")), written(placed.groupBy("run", "ahead", "held").agg(F.count(F.lit(1)).alias("n")), "between")
+
+
 def heard_range(tags: DataFrame, orders: int, seed: int) -> DataFrame:
     """Topics found after so many posts, over ``orders`` random reading orders: (place, mean, low, high, last_posts, last_new).
 
     ``low`` and ``high`` hold 95 % of the orders; ``last_new`` is what the last tenth of the posts adds to the mean. ``tags``: post_id,
     topic. Places come from counts of posts between the first posts of topics, so no order is sorted as a whole.
     """
-    posts = tags.select("post_id").distinct()
+    posts = written(tags.select("post_id").distinct(), "read-posts")
     runs = F.broadcast(tags.sparkSession.range(orders).select(F.col("id").alias("run")))
-    at = F.struct(F.sha2(F.concat_ws(":", F.lit(seed), "run", "post_id"), 256).alias("h"), "post_id").alias("at")
-    first = tags.filter("topic IS NOT NULL").crossJoin(runs).select("run", "topic", at).groupBy("run", "topic").agg(F.min("at").alias("at"))
-    cuts = first.groupBy("run").agg(F.sort_array(F.collect_list("at")).alias("cuts"))
-    ahead = F.size(F.filter("cuts", lambda c: c < F.col("at"))).alias("ahead")
-    between = posts.crossJoin(runs).select("run", at).join(F.broadcast(cuts), "run").select("run", ahead).groupBy("run", "ahead").agg(F.count(F.lit(1)).alias("n"))
+    h = F.sha2(F.concat_ws(":", F.lit(seed), "run", "post_id"), 256)
+    for at in (F.conv(F.substring(h, 1, 15), 16, 10).cast("bigint"), F.struct(h.alias("h"), "post_id")):
+        cuts, between = _between(tags, posts, runs, at)
+        if not between.filter("held AND n > 1").limit(1).count():  # numbers tell the posts apart where it matters; else whole hashes do
+            break
+    between = between.select("run", F.col("ahead"), "n").groupBy("run", "ahead").agg(F.sum("n").alias("n"))
     places = cuts.select("run", F.posexplode("cuts").alias("nth", "_at")).select("run", "nth").join(between, "run").filter("ahead <= nth").groupBy("run", "nth").agg(F.sum("n").alias("place"))
     new = places.groupBy("run", "place").agg(F.count(F.lit(1)).alias("new"))
     steps = new.select("place").unionByName(tags.sparkSession.range(1, 2).select(F.col("id").alias("place"))).distinct()

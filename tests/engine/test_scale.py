@@ -5,7 +5,7 @@ import re
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from colloq.operators import matching, synthesis
+from colloq.operators import matching, stats, synthesis
 from colloq.sources import captures, rows
 
 
@@ -59,3 +59,19 @@ def test_problems_of_nuggets_do_not_hang_on_the_order_of_rows(spark):
     assert {r[0]: r[1] for r in found} == {"the quote is not verbatim": 200, "the observation repeats the quote": 150}
     quotes = matching.elided_check(shuffled(posts.withColumnRenamed("text", "source").withColumn("said", F.lit("it is fast")), 5))
     assert len(re.findall("monotonically_increasing_id", plan(quotes))) == 0
+
+
+def test_first_posts_of_topics_are_found_without_sorting_every_order(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(stats, "written", lambda df, what: seen.append((what, plan(df))) or df)
+    tags = spark.range(60).select(F.concat(F.lit("E"), "id").alias("post_id"), F.expr("IF(id % 5 = 0, NULL, concat('t', id % 3))").alias("topic"))
+    stats.heard_range(tags, 5, 7)
+    assert len(seen) == 3 and not any("SortAggregate" in p for _, p in seen)
+
+
+def test_net_negative_range_deals_out_no_row_a_draw(spark):
+    told = spark.range(400).select(F.concat(F.lit("u"), F.col("id") % 37).alias("person"), F.concat(F.lit("T"), F.col("id") % 7).alias("thread"), (F.col("id") % 5 - 2).alias("overall"))
+    out = stats.net_negative_range(told, "thread", 20, 3)
+    assert not re.search(r"hashpartitioning\([^)]*draw[^)]*person|hashpartitioning\([^)]*person[^)]*draw", plan(out))
+    alone = stats.net_negative_range(told.withColumn("own", F.col("person")), "own", 20, 3).collect()
+    assert stats.net_negative_range(told, "person", 20, 3).collect() == alone
