@@ -2,10 +2,12 @@
 
 import re
 
+import numpy as np
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from colloq.operators import matching, stats, synthesis
+from colloq.operators import matching, stats, synthesis, themes
 from colloq.sources import captures, rows
 
 
@@ -75,3 +77,18 @@ def test_net_negative_range_deals_out_no_row_a_draw(spark):
     assert not re.search(r"hashpartitioning\([^)]*draw[^)]*person|hashpartitioning\([^)]*person[^)]*draw", plan(out))
     alone = stats.net_negative_range(told.withColumn("own", F.col("person")), "own", 20, 3).collect()
     assert stats.net_negative_range(told, "person", 20, 3).collect() == alone
+
+
+def test_axes_are_the_decompositions_first_ones(spark):
+    rng = np.random.default_rng(3)
+    full = rng.random((60, 40)) * (rng.random((60, 40)) < 0.3)
+    rows = spark.createDataFrame([(k, [int(c) for c in np.flatnonzero(r)], [float(v) for v in r[r != 0]]) for k, r in enumerate(full)], "id bigint, at array<int>, w array<double>")
+    found = themes._axes(rows, 40, 4)
+    assert np.allclose(np.linalg.norm(full @ found, axis=0), np.linalg.svd(full)[1][:4], rtol=1e-6)
+
+
+def test_sets_are_made_for_the_texts_of_pairs_only(spark):
+    text = F.concat(F.lit("one two three four five six seven eight nine ten eleven "), F.col("id") % 2, F.lit(" "), F.expr("IF(id < 4, '', array_join(transform(sequence(1, 30), i -> concat('w', i * id)), ' '))"))
+    found = matching.near_pairs(spark.range(9).select("id", text.alias("text")), None)
+    assert "LeftSemi" in plan(found)
+    assert [(r.a, r.b) for r in found.collect()] == []
